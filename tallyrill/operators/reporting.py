@@ -102,7 +102,7 @@ def overview(sales: DataFrame, social: DataFrame | None, daily: DataFrame, gener
     parts.append(longer("daily", daily.agg(F.count(F.lit(1)).alias("days"))))
     if general is not None:
         head = general.filter(F.col("method") == "pearson").select(
-            F.round("r", 6).alias("r"),
+            F.col("r").cast("decimal(18,6)").alias("r"),
             F.when(F.col("r") > 0, "Positiva").otherwise("Negativa").alias("direction"),
             F.when(F.col("significant"), "Significativa").otherwise("No significativa").alias("significance"))
         parts.append(longer("correlation", head))
@@ -118,7 +118,7 @@ def overview(sales: DataFrame, social: DataFrame | None, daily: DataFrame, gener
 def sales_figures(columns: list[str]) -> list[Column]:
     out = [F.count(F.lit(1)).alias("transactions")]
     if "amount" in columns:
-        out.append(F.round(F.sum("amount"), 2).alias("revenue"))
+        out.append(F.sum("amount").cast("decimal(38,2)").alias("revenue"))
     if "customer_id" in columns:
         out.append(F.countDistinct("customer_id").alias("customers"))
     if "product_name" in columns:

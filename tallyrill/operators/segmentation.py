@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
@@ -18,6 +19,7 @@ FEATURES = ("recency", "frequency", "monetary")
 N_CLUSTERS = 4
 FIRST_SEED = 42
 N_INIT = 10
+PARALLEL_FITS = 5
 
 
 def rfm(sales: DataFrame) -> DataFrame:
@@ -67,18 +69,22 @@ def cluster(customers: DataFrame, k: int = N_CLUSTERS, seeds: tuple[int, ...] |
     seeds = seeds or tuple(range(FIRST_SEED, FIRST_SEED + N_INIT))
     vectors = feature_vectors(customers)
     narrow = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(seed: int):
+        return KMeans(k=k, seed=seed, maxIter=300, tol=1e-4, featuresCol="features",
+                      predictionCol="segment").fit(narrow)
+
     try:
-        best, costs = None, {}
-        for seed in seeds:
-            model = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4, featuresCol="features",
-                           predictionCol="segment").fit(narrow)
-            costs[seed] = model.summary.trainingCost
-            if best is None or costs[seed] < costs[best[0]]:
-                best = (seed, model)
+        narrow.count()
+        # independent fits share the cached vectors; side by side they hide each other's job latency
+        with ThreadPoolExecutor(max_workers=min(len(seeds), PARALLEL_FITS)) as pool:
+            models = dict(zip(seeds, pool.map(inheritable_thread_target(fit), seeds)))
+        costs = {seed: model.summary.trainingCost for seed, model in models.items()}
     finally:
         narrow.unpersist()
-    assigned = best[1].transform(vectors).drop("features", *[f"z_{c}" for c in FEATURES])
-    return Clustering(assigned, costs[best[0]], best[0], costs)
+    best = min(seeds, key=lambda seed: (costs[seed], seed))
+    assigned = models[best].transform(vectors).drop("features", *[f"z_{c}" for c in FEATURES])
+    return Clustering(assigned, costs[best], best, costs)
 
 
 def segment_profiles(segments: DataFrame, by: str = "segment", digits: int | None = 2) -> DataFrame:
