@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DoubleType
 
 from tallyrill.functions.scalar import col
 
@@ -24,78 +22,74 @@ def pearson(x: Column | str, y: Column | str, over=None) -> Column:
     return F.try_divide(parts[0], parts[1] * parts[2])
 
 
-def pearson_p(r: Column | str, n: Column | str) -> Column:
-    """Two-sided p of r under Student's t with n-2 degrees of freedom.
+def pearson_p(r: str, n: str) -> Column:
+    """Two-sided p of r (column names) under Student's t with n-2 degrees of freedom.
 
-    Finite series for integer degrees of freedom (Abramowitz & Stegun 26.7.3 and 26.7.4), one
-    fold per result row.
+    Finite series for integer degrees of freedom (Abramowitz & Stegun 26.7.3 and 26.7.4): each
+    term is the previous one times a ratio and 1 - r^2, one fold per result row.
     """
-    r, nu = col(r), (col(n) - 2).cast("bigint")
-    s = F.least(F.abs(r), F.lit(1.0))
-    c2 = F.lit(1.0) - s * s
+    nu, s = f"CAST({n} - 2 AS BIGINT)", f"least(abs({r}), 1D)"
+    c2 = f"(1D - {s} * {s})"
 
-    def series(terms: Column, first: Column, step) -> Column:
-        steps = F.when(terms >= 1, F.sequence(F.lit(1).cast("bigint"), terms)).otherwise(
-            F.array().cast("array<bigint>"))
-        start = F.struct(first.alias("term"), first.alias("total"))
+    def series(terms: str, first: str, ratio: str) -> str:
+        steps = f"IF({terms} >= 1, sequence(1L, {terms}), CAST(array() AS ARRAY<BIGINT>))"
+        step = f"acc.term * ({ratio}) * {c2}"
+        return (f"aggregate({steps}, named_struct('term', {first}, 'total', {first}), "
+                f"(acc, j) -> named_struct('term', {step}, 'total', acc.total + {step}), acc -> acc.total)")
 
-        def fold(acc, j):
-            nxt = acc["term"] * step(j.cast("double")) * c2
-            return F.struct(nxt.alias("term"), (acc["total"] + nxt).alias("total"))
-
-        return F.aggregate(steps, start, fold, lambda acc: acc["total"])
-
-    even = s * series(F.floor((nu - 2) / 2), F.lit(1.0), lambda j: (2 * j - 1) / (2 * j))
-    odd_sum = F.when(nu >= 3, s * series(F.floor((nu - 3) / 2), F.sqrt(c2),
-                                         lambda j: (2 * j) / (2 * j + 1))).otherwise(F.lit(0.0))
-    odd = F.lit(2.0 / math.pi) * (F.asin(s) + odd_sum)
-    inside = F.when(nu % 2 == 0, even).otherwise(odd)
-    p = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - inside))
-    return F.when(r.isNull() | (nu < 0), F.lit(None).cast("double")).when(
-        nu == 0, F.lit(1.0)).otherwise(p)
+    even = f"{s} * {series(f'({nu} - 2) DIV 2', '1D', '(2D * j - 1D) / (2D * j)')}"
+    odd = (f"{2.0 / math.pi!r}D * (asin({s}) + IF({nu} >= 3, "
+           f"{s} * {series(f'({nu} - 3) DIV 2', f'sqrt({c2})', '(2D * j) / (2D * j + 1D)')}, 0D))")
+    return F.expr(
+        f"CASE WHEN {r} IS NULL OR {nu} < 0 THEN CAST(NULL AS DOUBLE) WHEN {nu} = 0 THEN 1D "
+        f"WHEN {nu} % 2 = 0 THEN greatest(0D, least(1D, 1D - {even})) "
+        f"ELSE greatest(0D, least(1D, 1D - {odd})) END")
 
 
 def significant(p: Column | str) -> Column:
     return col(p) < F.lit(ALPHA)
 
 
-def _fewer_inversions(n: int, c: int) -> float:
-    """Share of the n! orderings with at most ``c`` inversions."""
-    share = [1.0] + [0.0] * c
-    for size in range(2, n + 1):
-        running, nxt = 0.0, []
-        for k in range(c + 1):
-            running += share[k] - (share[k - size] if k >= size else 0.0)
-            nxt.append(running / size)
-        share = nxt
-    return math.fsum(share)
-
-
-def _kendall_tail(n, dis, s, xtie, ytie, x0, x1, y0, y1) -> float | None:
-    if n is None or n < 2:
-        return None
-    n, dis = int(n), int(dis)
-    pairs = n * (n - 1) // 2
-    low = min(dis, pairs - dis)
-    if xtie == 0 and ytie == 0 and (n <= 33 or low <= 1):
-        if n == 2 or 2 * low == pairs:
-            return 1.0
-        return min(1.0, 2.0 * _fewer_inversions(n, low))
-    m = n * (n - 1.0)
-    var = (m * (2 * n + 5) - x1 - y1) / 18.0 + 2.0 * xtie * ytie / m
-    if n > 2:
-        var += x0 * y0 / (9.0 * m * (n - 2))
-    if var <= 0:
-        return None
-    return math.erfc(abs(s) / math.sqrt(var) / math.sqrt(2.0))
-
-
-@F.pandas_udf(DoubleType())
-def kendall_p(n: pd.Series, dis: pd.Series, s: pd.Series, xtie: pd.Series, ytie: pd.Series,
-              x0: pd.Series, x1: pd.Series, y0: pd.Series, y1: pd.Series) -> pd.Series:
-    """Two-sided p of tau-b: exact for small series without ties, normal limit otherwise.
-
-    Runs on result rows only, one per series; Spark has no ``erfc``.
+def normal_two_sided_p(z: str) -> str:
+    """SQL text of erfc(|z| / sqrt 2): power series near zero, continued fraction in the tail."""
+    x = f"(abs({z}) / {math.sqrt(2.0)!r}D)"
+    series = (f"1D - {2.0 / math.sqrt(math.pi)!r}D * aggregate(sequence(1, 90), "
+              f"named_struct('term', {x}, 'total', {x}), (acc, k) -> named_struct("
+              f"'term', -acc.term * {x} * {x} / k, "
+              f"'total', acc.total - acc.term * {x} * {x} / k / (2 * k + 1)), acc -> acc.total)")
+    tail = (f"exp(-{x} * {x}) / ({x} * {math.sqrt(math.pi)!r}D * aggregate(sequence(120, 1, -1), 1D, "
+            f"(acc, k) -> 1D + k / (2D * {x} * {x}) / acc))")
+    return f"IF({x} < 2D, {series}, {tail})"
+
+
+def _exact_kendall(n: str, low: str) -> str:
+    """SQL text: twice the share of the n! orderings with at most ``low`` inversions.
+
+    Orderings of ``size`` items split by where the newest one lands, so each step replaces the
+    shares by means over a sliding window of the previous ones.
+    """
+    window = "slice(share, CAST(greatest(k - size + 2, 1) AS INT), CAST(least(k + 1, size) AS INT))"
+    total = "(a, v) -> a + v"
+    return (f"least(1D, 2D * aggregate(sequence(2L, {n}), "
+            f"transform(sequence(0L, {low}), k -> IF(k = 0, 1D, 0D)), "
+            f"(share, size) -> transform(share, (v, k) -> aggregate({window}, 0D, {total}) / size), "
+            f"share -> aggregate(share, 0D, {total})))")
+
+
+def kendall_p(n: str, dis: str, s: str, xtie: str, ytie: str, x0: str, x1: str, y0: str, y1: str) -> Column:
+    """Two-sided p of tau-b from the column names of its counts.
+
+    Exact for series without ties that are short or almost perfectly ordered, the tie-corrected
+    normal limit otherwise (Kendall, Rank Correlation Methods).
     """
-    rows = zip(n, dis, s, xtie, ytie, x0, x1, y0, y1)
-    return pd.Series([None if pd.isna(r[0]) else _kendall_tail(*r) for r in rows], dtype="float64")
+    pairs = f"({n} * ({n} - 1) DIV 2)"
+    low = f"least({dis}, {pairs} - {dis})"
+    m = f"({n} * ({n} - 1D))"
+    var = (f"(({m} * (2 * {n} + 5) - {x1} - {y1}) / 18D + 2D * {xtie} * {ytie} / {m} "
+           f"+ IF({n} > 2, {x0} * {y0} / (9D * {m} * greatest({n} - 2, 1)), 0D))")
+    z = f"({s} / sqrt({var}))"
+    return F.expr(
+        f"CASE WHEN {n} IS NULL OR {n} < 2 THEN CAST(NULL AS DOUBLE) "
+        f"WHEN {xtie} = 0 AND {ytie} = 0 AND ({n} = 2 OR 2 * {low} = {pairs}) THEN 1D "
+        f"WHEN {xtie} = 0 AND {ytie} = 0 AND ({n} <= 33 OR {low} <= 1) THEN {_exact_kendall(n, low)} "
+        f"WHEN {var} > 0 THEN {normal_two_sided_p(z)} END")

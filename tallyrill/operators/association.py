@@ -84,8 +84,7 @@ def association_tests(series: DataFrame, x: str, y: str, keys: list[str] | None
         *keys, "n", "pearson_r", "spearman_r", "kendall_tau",
         pearson_p("pearson_r", "n").alias("pearson_p"),
         pearson_p("spearman_r", "n").alias("spearman_p"),
-        kendall_p(*[F.col(c).cast("double") for c in
-                    ("n", "_dis", "_s", "_xtie", "_ytie", "_x0", "_x1", "_y0", "_y1")]).alias("kendall_p"),
+        kendall_p("n", "_dis", "_s", "_xtie", "_ytie", "_x0", "_x1", "_y0", "_y1").alias("kendall_p"),
     )
     methods = F.explode(F.array(*[
         F.struct(F.lit(m).alias("method"), F.col(r).alias("r"), F.col(p).alias("p_value"))

@@ -77,6 +77,10 @@ def drop_outliers(df: DataFrame, column: str, threshold: float = 1.5) -> DataFra
     bounds = iqr_bounds(df, column, threshold)
     if bounds is None:
         return df.filter(F.col(column).isNotNull())
+    return within(df, column, bounds)
+
+
+def within(df: DataFrame, column: str, bounds: tuple[float, float]) -> DataFrame:
     return df.filter((F.col(column) >= F.lit(bounds[0])) & (F.col(column) <= F.lit(bounds[1])))
 
 
@@ -142,20 +146,31 @@ def merge_social(tables: list[DataFrame | None]) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), given)
 
 
-def sales_before_outliers(df: DataFrame, order_by: list[str]) -> DataFrame:
-    """Keys, amount, category, first of each transaction, required and positive values."""
-    keyed = key_ops.with_sales_keys(df, order_by)
-    order = [key_ops.POSITION] if key_ops.POSITION in keyed.columns else order_by
-    first = keep_first(with_category(with_amount(keyed)), ["transaction_id"], order)
-    return keep_positive(drop_missing(first, REQUIRED_SALES))
-
-
 def clean_sales(df: DataFrame, order_by: list[str]) -> DataFrame:
-    """Full cleaning of raw sales; ``order_by`` is the total order that stands for input order."""
-    kept = write_once(sales_before_outliers(df, order_by), "sales-before-outliers")
-    kept = drop_outliers(kept, "amount").drop(key_ops.POSITION)
-    kept = kept.drop(*[c for c in order_by if c.startswith("_")])
-    return with_calendar(kept, full=True)
+    """Full cleaning of raw sales; ``order_by`` is the total order that stands for input order.
+
+    Generated ids are unique and never null, so they are neither de-duplicated nor filtered, and
+    the outlier bounds come from the numbered rows before customer ids are worked out.
+    """
+    given = set(df.columns)
+    rows = with_category(with_amount(key_ops.with_row_keys(df, order_by)))
+    if "transaction_id" in given:
+        if "customer_id" not in given:
+            rows = key_ops.with_customer_id(rows)
+        first = keep_first(rows, ["transaction_id"], key_ops.first_row_order(rows.columns, order_by))
+        rows = write_once(first, "unique-sales")
+
+    def valid(t: DataFrame) -> DataFrame:
+        return keep_positive(drop_missing(t, tuple(present(t, REQUIRED_SALES))))
+
+    bounds = iqr_bounds(valid(rows), "amount") if "amount" in rows.columns else None
+    if "customer_id" not in rows.columns:
+        rows = key_ops.with_customer_id(rows)
+    kept = valid(rows)
+    if bounds is not None:
+        kept = within(kept, "amount", bounds)
+    helpers = ["_dated", key_ops.POSITION, *[c for c in order_by if c.startswith("_")]]
+    return with_calendar(kept.drop(*helpers), full=True)
 
 
 def cleaning_funnel(df: DataFrame, keys: list[str], order_by: list[str], required: tuple[str, ...],

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyrill.functions.scalar import numbered_id
 from tallyrill.operators.index import contiguous_index, factorize, index_by_scan_order
-from tallyrill.scratch import write_once
 from tallyrill.sources.scan import SCAN_ORDER
 
 POSITION = "_position"
@@ -40,14 +39,13 @@ def by_date(df: DataFrame, position: str = POSITION) -> DataFrame:
     return contiguous_index(df, [F.col("date").asc_nulls_last(), F.col(position)], "_dated")
 
 
-def with_customer_id_from_location(df: DataFrame, position: str = POSITION) -> DataFrame:
+def customer_id_from_location(dated: DataFrame) -> DataFrame:
     """Numbered from 1 by first appearance of (location, block of ten rows along the date).
 
     Blocks are consecutive positions, so a code is the number of pairs that first appeared
     earlier: whole pairs before the row's chunk of positions, plus a running count inside it.
     No group is larger than one chunk, whatever the dates and locations.
     """
-    dated = by_date(df, position)
     total = dated.count()
     chunk_rows = max(_CHUNK_ROWS, math.ceil(total / _MAX_CHUNKS / LOCATION_BUCKET) * LOCATION_BUCKET)
     place = F.coalesce(F.col("location").cast("string"), F.lit("nan"))
@@ -70,30 +68,44 @@ def with_customer_id_from_location(df: DataFrame, position: str = POSITION) -> D
     coded = counted.withColumn("_local", F.min("_seen").over(pair))
     return (coded.join(F.broadcast(offsets), "_chunk")
             .withColumn("customer_id", F.col("_offset") + F.col("_local"))
-            .withColumn(position, F.col("_dated"))
-            .drop("_place", "_block", "_chunk", "_opens", "_seen", "_local", "_offset", "_dated"))
+            .drop("_place", "_block", "_chunk", "_opens", "_seen", "_local", "_offset"))
 
 
-def with_customer_id_from_order(df: DataFrame, position: str = POSITION) -> DataFrame:
+def customer_id_from_order(dated: DataFrame) -> DataFrame:
     """Five consecutive rows along the date share a customer."""
-    return (by_date(df, position)
-            .withColumn("customer_id", F.floor(F.col("_dated") / PLAIN_BUCKET) + 1)
-            .withColumn(position, F.col("_dated")).drop("_dated"))
+    return dated.withColumn("customer_id", F.floor(F.col("_dated") / PLAIN_BUCKET) + 1)
 
 
-def with_sales_keys(df: DataFrame, order_by: list[str]) -> DataFrame:
-    """Add whichever of the three ids is absent; rows are numbered only if one is."""
-    wanted = {"transaction_id", "customer_id"} | ({"product_id"} if "product_name" in df.columns else set())
-    if wanted <= set(df.columns):
+def with_customer_id(dated: DataFrame) -> DataFrame:
+    if "location" in dated.columns:
+        return customer_id_from_location(dated)
+    return customer_id_from_order(dated)
+
+
+def with_row_keys(df: DataFrame, order_by: list[str]) -> DataFrame:
+    """Transaction and product ids where absent, and the order that decides which row is first.
+
+    Without customer ids the rows end up numbered along the date as ``_dated``. The result reads
+    from a written copy whenever rows had to be numbered.
+    """
+    have = set(df.columns)
+    numbered = {"transaction_id", "customer_id"} | ({"product_id"} if "product_name" in have else set())
+    if numbered <= have:
         return df
     out = with_position(df, order_by)
-    if "transaction_id" not in out.columns:
+    if "transaction_id" not in have:
         out = with_transaction_id(out)
-    if "product_id" not in out.columns and "product_name" in out.columns:
+    if "product_id" in numbered - have:
         out = with_product_id(out)
-    if "customer_id" not in out.columns:
-        if "location" in out.columns:
-            out = write_once(with_customer_id_from_location(out), "customer-ids")
-        else:
-            out = with_customer_id_from_order(out)
-    return out
+    return out if "customer_id" in have else by_date(out)
+
+
+def first_row_order(columns: list[str], order_by: list[str]) -> list[str]:
+    return next(([c] for c in ("_dated", POSITION) if c in columns), list(order_by))
+
+
+def with_sales_keys(df: DataFrame, order_by: list[str]) -> DataFrame:
+    """Add whichever of the three ids is absent."""
+    rows = with_row_keys(df, order_by)
+    rows = rows if "customer_id" in rows.columns else with_customer_id(rows)
+    return rows.drop("_dated", POSITION)

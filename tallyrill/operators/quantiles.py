@@ -37,7 +37,8 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[tuple
     """
     targets = [_Target(c, p) for c, probs in wanted.items() for p in probs]
     margin = 3.0 / SKETCH_ACCURACY
-    first = [F.count(c).alias(f"n_{c}") for c in wanted]
+    first = [f(c).alias(f"{tag}_{c}") for c in wanted
+             for f, tag in ((F.count, "n"), (F.min, "low"), (F.max, "high"))]
     for c, probs in wanted.items():
         cuts = [cut for p in probs for cut in (max(p - margin, 0.0), min(p + margin, 1.0))]
         first.append(F.percentile_approx(c, cuts, SKETCH_ACCURACY).alias(f"q_{c}"))
@@ -51,9 +52,15 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[tuple
         t.low, t.high = float(row[f"q_{t.column}"][2 * spot]), float(row[f"q_{t.column}"][2 * spot + 1])
         exact_rank = (n - 1) * t.prob
         t.rank, t.weight = math.floor(exact_rank), exact_rank - math.floor(exact_rank)
+        if n <= READ_OUT:  # the whole column is small enough to be one bracket
+            t.low, t.high, t.inside = float(row[f"low_{t.column}"]), float(row[f"high_{t.column}"]), n
         live.append(t)
 
+    small = [t for t in live if t.inside]
+    live = [t for t in live if not t.inside]
     for _ in range(_MAX_NARROWINGS):
+        if not live:
+            break
         _count(df, live)
         for t in live:
             if not _covers(t):
@@ -67,8 +74,8 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[tuple
         _narrow(df, wide)
     else:
         _count(df, live)
-    if live:
-        _read_out(df, live)
+    if small or live:
+        _read_out(df, small + live)
     return {(t.column, t.prob): t.value for t in targets}
 
 
@@ -108,27 +115,27 @@ def _narrow(df: DataFrame, wide: list[_Target]) -> None:
 
 def _read_out(df: DataFrame, live: list[_Target]) -> None:
     """Counted distinct values of every bracket; repeated values collapse before they move."""
-    cells = F.array(*[F.when(_inside(t), F.struct(F.lit(i).alias("t"), F.col(t.column).cast("double").alias("v")))
-                      for i, t in enumerate(live)])
+    brackets = sorted({(t.column, t.low, t.high) for t in live})
+    cells = F.array(*[
+        F.when(F.col(c).between(F.lit(low), F.lit(high)),
+               F.struct(F.lit(i).alias("b"), F.col(c).cast("double").alias("v")))
+        for i, (c, low, high) in enumerate(brackets)])
     counted = (df.select(F.explode(F.filter(cells, lambda c: c.isNotNull())).alias("c"))
-               .groupBy("c.t", "c.v").agg(F.count(F.lit(1)).alias("n")))
-    limit = READ_OUT * len(live)
+               .groupBy("c.b", "c.v").agg(F.count(F.lit(1)).alias("n")))
+    limit = READ_OUT * len(brackets)
     rows = counted.limit(limit + 1).collect()
-    if len(rows) > limit:
-        for t in live:
-            t.value = _builtin(df, t)
-        return
-    for i, t in enumerate(live):
-        if not _covers(t):
+    values = {b: sorted((r["v"], r["n"]) for r in rows if r["b"] == i) for i, b in enumerate(brackets)}
+    for t in live:
+        if len(rows) > limit or not _covers(t):
             t.value = _builtin(df, t)
             continue
         at, low, high = t.below, None, None
-        for r in sorted((r for r in rows if r["t"] == i), key=lambda r: r["v"]):
-            at += r["n"]
+        for value, n in values[(t.column, t.low, t.high)]:
+            at += n
             if low is None and at > t.rank:
-                low = r["v"]
+                low = value
             if at > t.rank + (1 if t.weight > 0 else 0):
-                high = r["v"]
+                high = value
                 break
         t.value = _between(low, high, t.weight)
 

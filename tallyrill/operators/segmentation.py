@@ -70,6 +70,7 @@ def cluster(customers: DataFrame, k: int = N_CLUSTERS, seeds: tuple[int, ...] |
     vectors = feature_vectors(customers)
     narrow = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
 
+    @inheritable_thread_target(customers.sparkSession)
     def fit(seed: int):
         return KMeans(k=k, seed=seed, maxIter=300, tol=1e-4, featuresCol="features",
                       predictionCol="segment").fit(narrow)
@@ -78,7 +79,7 @@ def cluster(customers: DataFrame, k: int = N_CLUSTERS, seeds: tuple[int, ...] |
         narrow.count()
         # independent fits share the cached vectors; side by side they hide each other's job latency
         with ThreadPoolExecutor(max_workers=min(len(seeds), PARALLEL_FITS)) as pool:
-            models = dict(zip(seeds, pool.map(inheritable_thread_target(fit), seeds)))
+            models = dict(zip(seeds, pool.map(fit, seeds)))
         costs = {seed: model.summary.trainingCost for seed, model in models.items()}
     finally:
         narrow.unpersist()
@@ -113,9 +114,14 @@ def label_rules(profiles: DataFrame, q: dict[tuple[str, float], float | None]) -
     return profiles.withColumn("segment_name", label)
 
 
-def label_segments(assigned: DataFrame) -> DataFrame:
-    """Add ``segment_name``; several clusters may share a label. One label row per cluster."""
-    labels = label_rules(segment_profiles(assigned), rfm_quantiles(assigned)).select("segment", "segment_name")
+def label_segments(assigned: DataFrame, customers: DataFrame | None = None) -> DataFrame:
+    """Add ``segment_name``; several clusters may share a label. One label row per cluster.
+
+    ``customers`` may name the stored table the clusters were assigned to, which is cheaper to
+    take quantiles from.
+    """
+    cuts = rfm_quantiles(assigned if customers is None else customers)
+    labels = label_rules(segment_profiles(assigned), cuts).select("segment", "segment_name")
     return assigned.join(F.broadcast(labels), "segment", "left")
 
 
@@ -167,8 +173,7 @@ def segment_customers(sales: DataFrame, k: int = N_CLUSTERS, seeds: tuple[int, .
     """Customer metrics, labelled clusters, components and report; metrics are written once."""
     customers = write_once(rfm(sales), "rfm")
     clustering = cluster(customers, k, seeds)
-    assigned = write_once(clustering.assigned, "clusters")
-    segments = label_segments(assigned)
+    segments = write_once(label_segments(clustering.assigned, customers), "segments")
     components, ratios = principal_components(customers)
     return {
         "rfm": customers,

@@ -317,15 +317,16 @@ add("g2_product_ids",
 _DATED = "SELECT *, row_number() OVER (ORDER BY date NULLS LAST, row_idx) - 1 AS pos FROM p"
 
 add("g3_customer_ids",
-    lambda s, d: tidy(keys.with_customer_id_from_location(
-        _positioned(s, d, ["date", "location"]), "row_idx").select("row_idx", "date", "location", "customer_id")),
+    lambda s, d: tidy(keys.customer_id_from_location(
+        keys.by_date(_positioned(s, d, ["date", "location"]), "row_idx"))
+        .select(F.col("_dated").alias("row_idx"), "date", "location", "customer_id")),
     sql(f"""SELECT pos AS row_idx, {day()}, location, dense_rank() OVER (ORDER BY f) AS customer_id FROM
         (SELECT *, min(pos) OVER (PARTITION BY pos // 10, location) AS f FROM t)""",
         "sales", p=_POS, t=_DATED))
 
 add("g4_customer_ids_plain",
-    lambda s, d: tidy(keys.with_customer_id_from_order(
-        _positioned(s, d, ["date"]), "row_idx").select("row_idx", "date", "customer_id")),
+    lambda s, d: tidy(keys.customer_id_from_order(keys.by_date(_positioned(s, d, ["date"]), "row_idx"))
+                      .select(F.col("_dated").alias("row_idx"), "date", "customer_id")),
     sql(f"SELECT pos AS row_idx, {day()}, pos // 5 + 1 AS customer_id FROM t", "sales", p=_POS, t=_DATED))
 
 _CATEGORY = """CASE WHEN regexp_matches(lower({c}), 'protein|whey|casein|isolate') THEN 'Protein'

@@ -15,13 +15,21 @@ class DuplicateColumn(ValueError):
     """Two source columns map to the same canonical name."""
 
 
+def _located(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = _located(spark, path)
     return fs.exists(hadoop_path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _located(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def with_scan_order(df: DataFrame) -> DataFrame:
     """Add the source position; call it on the scan itself, before any shuffle."""
     return df.select(

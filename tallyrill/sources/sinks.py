@@ -22,15 +22,23 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tu
         writer.parquet(path)
 
 
+def write_unless_empty(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
+    """Run the plan once and keep its output only if it has rows.
+
+    Emptiness is read off the written files; asking the plan itself would run it twice.
+    """
+    write_table(df, path, fmt)
+    spark = df.sparkSession
+    if not spark.read.schema(df.schema).format(fmt).option("header", True).load(path).isEmpty():
+        return True
+    scan.remove_path(spark, path)
+    return False
+
+
 def write_processed(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> list[str]:
     """Every non-empty table to ``{folder}/{name}_processed``."""
-    written = []
-    for name, df in tables.items():
-        if df is None or df.isEmpty():
-            continue
-        write_table(df, f"{folder}/{name}_processed", fmt)
-        written.append(name)
-    return written
+    return [name for name, df in tables.items()
+            if df is not None and write_unless_empty(df, f"{folder}/{name}_processed", fmt)]
 
 
 def write_segmentation(rfm: DataFrame, segments: DataFrame, folder: str, fmt: str = "parquet") -> None:
@@ -43,13 +51,14 @@ def write_correlations(results: dict[str, DataFrame | None], folder: str, fmt: s
     written = []
     for name in ("general", "lag", "rolling", "by_segment", "by_product"):
         df = results.get(name)
-        if df is None or df.isEmpty():
+        if df is None:
+            continue
+        path = f"{folder}/correlation_{name}{'_methods' if name == 'general' else ''}"
+        if not write_unless_empty(df, path, fmt):
             continue
         if name == "general":
-            write_table(pearson_view(df), f"{folder}/correlation_general", fmt)
-            write_table(df, f"{folder}/correlation_general_methods", fmt)
-        else:
-            write_table(df, f"{folder}/correlation_{name}", fmt)
+            methods = df.sparkSession.read.schema(df.schema).format(fmt).option("header", True).load(path)
+            write_table(pearson_view(methods), f"{folder}/correlation_general", fmt)
         written.append(name)
     return written
 
