@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyrill.scratch import write_once
 from tallyrill.sources.scan import SCAN_ORDER
 
+SMALL_ROWS = 100_000  # counted tables up to this size may be numbered in one partition
 _SEQ_BITS = 33  # monotonically_increasing_id: partition above, position in partition below
 
 
@@ -41,8 +42,9 @@ def index_by_scan_order(df: DataFrame, out: str = "row_idx") -> DataFrame:
     splits = kept.groupBy(file_, block).agg(
         F.count(F.lit(1)).alias("_size"), F.min(seq).alias("_first"))
     before = Window.orderBy(file_, block).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(file_, block, "_first",
-                            F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    # written first: its measured size lets the plan broadcast it without shuffling the rows
+    offsets = write_once(splits.select(
+        file_, block, "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")), "splits")
     return (kept.join(offsets, [file_, block])
             .withColumn(out, F.col("_offset") + F.col(seq) - F.col("_first"))
             .drop(*SCAN_ORDER, "_first", "_offset"))
@@ -50,17 +52,20 @@ def index_by_scan_order(df: DataFrame, out: str = "row_idx") -> DataFrame:
 
 def first_appearance_codes(df: DataFrame, value: str, position: str) -> DataFrame:
     """(value, code): distinct non-null values numbered from 0 by their first position."""
-    firsts = (df.filter(F.col(value).isNotNull()).groupBy(value)
-              .agg(F.min(position).alias("_first")))
-    return contiguous_index(firsts, ["_first"], "code").drop("_first")
+    firsts = write_once(df.filter(F.col(value).isNotNull()).groupBy(value)
+                        .agg(F.min(position).alias("_first")), "first-positions")
+    if firsts.count() <= SMALL_ROWS:
+        code = F.row_number().over(Window.orderBy("_first")).cast("bigint") - 1
+        return firsts.select(value, code.alias("code"))
+    return write_once(contiguous_index(firsts, ["_first"], "code").drop("_first"), "codes")
 
 
 def factorize(df: DataFrame, value: str, position: str, out: str) -> DataFrame:
     """Attach the first-appearance code of ``value``; null gets -1.
 
-    The code table holds one row per distinct value, is written before the join, and so is
-    broadcast only when its stored size is below the session's limit.
+    The code table holds one row per distinct value. It is broadcast when it has been counted as
+    small; beyond that it is a written table whose stored size decides the join.
     """
-    codes = write_once(first_appearance_codes(df, value, position), "codes")
-    return (df.join(codes.withColumnRenamed("code", out), value, "left")
+    codes = first_appearance_codes(df, value, position).withColumnRenamed("code", out)
+    return (df.join(codes, value, "left")
             .withColumn(out, F.coalesce(out, F.lit(-1).cast("bigint"))))

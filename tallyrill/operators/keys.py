@@ -13,7 +13,7 @@ from tallyrill.sources.scan import SCAN_ORDER
 POSITION = "_position"
 LOCATION_BUCKET = 10
 PLAIN_BUCKET = 5
-_CHUNK_ROWS = 100_000  # rows of one running count; a multiple of the location bucket
+_CHUNK_ROWS = 20_000  # rows of one running count; a multiple of the location bucket
 _MAX_CHUNKS = 100_000
 
 
@@ -60,15 +60,17 @@ def customer_id_from_location(dated: DataFrame) -> DataFrame:
     # at most _MAX_CHUNKS rows
     offsets = per_chunk.select("_chunk", F.coalesce(F.sum("_pairs").over(before), F.lit(0)).alias("_offset"))
 
-    pair = Window.partitionBy("_chunk", "_block", "_place")
-    running = Window.partitionBy("_chunk").orderBy("_dated").rowsBetween(Window.unboundedPreceding, 0)
-    chunked = rows.repartition("_chunk")
-    marked = chunked.withColumn("_opens", (F.min("_dated").over(pair) == F.col("_dated")).cast("bigint"))
-    counted = marked.withColumn("_seen", F.sum("_opens").over(running))
-    coded = counted.withColumn("_local", F.min("_seen").over(pair))
-    return (coded.join(F.broadcast(offsets), "_chunk")
-            .withColumn("customer_id", F.col("_offset") + F.col("_local"))
-            .drop("_place", "_block", "_chunk", "_opens", "_seen", "_local", "_offset"))
+    # both windows run on one sort: blocks follow each other along the date
+    in_block = Window.partitionBy("_chunk", "_block").orderBy("_dated").rowsBetween(Window.unboundedPreceding, 0)
+    in_chunk = Window.partitionBy("_chunk").orderBy("_block", "_dated").rowsBetween(Window.unboundedPreceding, 0)
+    listed = rows.repartition("_chunk").withColumn("_places", F.collect_list("_place").over(in_block))
+    first_at = F.array_position("_places", F.col("_place")).cast("int")
+    opened = listed.withColumn("_seen", F.sum((first_at == F.size("_places")).cast("bigint")).over(in_chunk))
+    before_block = F.col("_seen") - F.size(F.array_distinct("_places"))
+    local = before_block + F.size(F.array_distinct(F.slice("_places", F.lit(1), first_at)))
+    return (opened.join(F.broadcast(offsets), "_chunk")
+            .withColumn("customer_id", F.col("_offset") + local)
+            .drop("_place", "_block", "_chunk", "_places", "_seen", "_offset"))
 
 
 def customer_id_from_order(dated: DataFrame) -> DataFrame:

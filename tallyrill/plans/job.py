@@ -7,12 +7,13 @@ stage recomputes an earlier one and a lost executor costs only its own tasks.
 from __future__ import annotations
 
 import traceback
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyrill import schemas
+from tallyrill import schemas, scratch
 from tallyrill.operators import cleaning, correlation, quality, reporting, rollups, segmentation
 from tallyrill.sources import scan, sinks
 
@@ -48,35 +49,17 @@ def merged_config(given: dict | None) -> dict:
     return merge(schemas.DEFAULT_CONFIG, given or {})
 
 
-def transform_all(tables: dict[str, DataFrame], order_by: list[str]) -> dict[str, DataFrame]:
-    """Cleaned sources, merged posts and the daily table; absent sources stay absent."""
-    out: dict[str, DataFrame] = {}
-    if tables.get("sales") is not None:
-        out["sales"] = cleaning.clean_sales(tables["sales"], order_by)
-    for platform in schemas.PLATFORMS:
-        posts = tables.get(platform)
-        if posts is not None:
-            known = [c for c in order_by if c in posts.columns]
-            out[platform] = cleaning.clean_social(posts, platform, known or None)
-    merged = cleaning.merge_social([out.get(p) for p in schemas.PLATFORMS])
-    if merged is not None:
-        out["social_media_merged"] = merged
-    if "sales" in out:
-        out["daily_aggregates"] = rollups.daily_aggregates(out["sales"], merged)
-    return out
-
-
-def _write_transformed(spark: SparkSession, tables: dict[str, DataFrame], order_by: list[str],
-                       folder: str, fmt: str) -> dict[str, DataFrame]:
-    """Write each table once, building derived tables from the written ones."""
-    def stored(name: str, df: DataFrame) -> DataFrame | None:
-        done = sinks.write_processed({name: df}, folder, fmt)
-        return scan.read_processed(spark, folder, name, fmt=fmt) if done else None
+def transform_all(tables: dict[str, DataFrame], order_by: list[str],
+                  store: Callable[[str, DataFrame], DataFrame | None] = lambda name, df: df) -> dict[str, DataFrame]:
+    """Cleaned sources, merged posts and the daily table; absent sources stay absent.
 
+    ``store`` may write a table and return its stored form (None for an empty one), from which
+    the tables built on it are derived.
+    """
     out: dict[str, DataFrame] = {}
 
-    def keep(name: str, df: DataFrame) -> None:
-        kept = stored(name, df)
+    def keep(name: str, df: DataFrame | None) -> None:
+        kept = None if df is None else store(name, df)
         if kept is not None:
             out[name] = kept
 
@@ -87,9 +70,7 @@ def _write_transformed(spark: SparkSession, tables: dict[str, DataFrame], order_
         if posts is not None:
             known = [c for c in order_by if c in posts.columns]
             keep(platform, cleaning.clean_social(posts, platform, known or None))
-    merged = cleaning.merge_social([out.get(p) for p in schemas.PLATFORMS])
-    if merged is not None:
-        keep("social_media_merged", merged)
+    keep("social_media_merged", cleaning.merge_social([out.get(p) for p in schemas.PLATFORMS]))
     if "sales" in out:
         keep("daily_aggregates", rollups.daily_aggregates(out["sales"], out.get("social_media_merged")))
     return out
@@ -106,6 +87,7 @@ def run_job(spark: SparkSession, config: dict | None = None, tables: dict[str, D
     history = conf["output"].get("history_path", f"{folder}/execution_history")
     record = RunRecord(start_time=_now())
     results: dict = {"stats": record}
+    written_before = scratch.mark()
     stage = STAGES[0]
     try:
         if tables is None:
@@ -116,14 +98,15 @@ def run_job(spark: SparkSession, config: dict | None = None, tables: dict[str, D
         record.stages_completed.append(stage)
 
         stage = STAGES[1]
-        data = _write_transformed(spark, raw, order_by or [], folder, fmt)
+        data = transform_all(raw, order_by or [], lambda name, df: sinks.write_unless_empty(
+            df, f"{folder}/{name}_processed", fmt))
         results["data"] = data
         results["missing_outputs"] = quality.missing_outputs(set(data))
         record.stages_completed.append(stage)
 
         stage = STAGES[2]
         if conf["pipeline"].get("enable_validation", True):
-            details = quality.validate_tables(data).cache()
+            details = sinks.write_back(quality.validate_tables(data), f"{folder}/validation_checks", fmt)
             verdicts = quality.dataset_verdicts(details, [n for n in quality.SUITES if n in data])
             results["validation"] = {"details": details, "verdicts": verdicts}
             results["report_path"] = sinks.write_validation_report(
@@ -134,7 +117,9 @@ def run_job(spark: SparkSession, config: dict | None = None, tables: dict[str, D
         if "sales" not in data:
             raise ValueError("no sales to segment")
         seg = segmentation.segment_customers(data["sales"])
-        sinks.write_segmentation(seg["rfm"], seg["segments"], folder, fmt)
+        seg["rfm"], seg["segments"] = sinks.write_segmentation(seg["rfm"], seg["segments"], folder, fmt)
+        seg["pca"] = sinks.write_back(seg["pca"], f"{folder}/segments_pca", fmt)
+        seg["report"] = segmentation.with_strategies(segmentation.segment_report(seg["segments"]))
         results["segmentation"] = seg
         record.stages_completed.append(stage)
 
@@ -143,14 +128,15 @@ def run_job(spark: SparkSession, config: dict | None = None, tables: dict[str, D
         if missing:
             raise ValueError(f"missing tables: {missing}")
         found = correlation.analyze(data["daily_aggregates"], seg["segments"], data["sales"])
-        sinks.write_correlations(found, folder, fmt)
-        results["correlation"] = found
+        results["correlation"] = sinks.write_correlations(found, folder, fmt)
         record.stages_completed.append(stage)
         record.status = "completed"
     except Exception as problem:  # the job reports every failure the same way
         record.status = "failed"
         record.stages_failed.append(stage)
         record.errors.append(f"{problem}\n{traceback.format_exc()}")
+    finally:
+        scratch.drop_since(spark, written_before)  # every result now reads from the output folder
     record.end_time = _now()
     record.duration_seconds = (record.end_time - record.start_time).total_seconds()
     ok = record.status == "completed"

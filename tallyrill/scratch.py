@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_fallback: str | None = None
+_written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,4 +38,19 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def mark() -> int:
+    """Position in the list of written tables, for ``drop_since``."""
+    return len(_written)
+
+
+def drop_since(spark: SparkSession, position: int) -> None:
+    """Remove the tables written after ``mark``; no frame that reads them may be used afterwards."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in _written[position:]:
+        target = hadoop.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    del _written[position:]

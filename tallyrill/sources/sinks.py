@@ -22,45 +22,47 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tu
         writer.parquet(path)
 
 
-def write_unless_empty(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """Run the plan once and keep its output only if it has rows.
+def write_back(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """Run the plan once and return a scan of its output."""
+    write_table(df, path, fmt)
+    return df.sparkSession.read.schema(df.schema).format(fmt).option("header", True).load(path)
+
+
+def write_unless_empty(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """``write_back``, or None and no output for a table without rows.
 
     Emptiness is read off the written files; asking the plan itself would run it twice.
     """
-    write_table(df, path, fmt)
-    spark = df.sparkSession
-    if not spark.read.schema(df.schema).format(fmt).option("header", True).load(path).isEmpty():
-        return True
-    scan.remove_path(spark, path)
-    return False
+    stored = write_back(df, path, fmt)
+    if not stored.isEmpty():
+        return stored
+    scan.remove_path(df.sparkSession, path)
+    return None
 
 
-def write_processed(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> list[str]:
-    """Every non-empty table to ``{folder}/{name}_processed``."""
-    return [name for name, df in tables.items()
-            if df is not None and write_unless_empty(df, f"{folder}/{name}_processed", fmt)]
+def write_processed(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """Every non-empty table to ``{folder}/{name}_processed``; the stored tables by name."""
+    stored = {name: write_unless_empty(df, f"{folder}/{name}_processed", fmt)
+              for name, df in tables.items() if df is not None}
+    return {name: df for name, df in stored.items() if df is not None}
 
 
-def write_segmentation(rfm: DataFrame, segments: DataFrame, folder: str, fmt: str = "parquet") -> None:
-    write_table(rfm, f"{folder}/rfm_analysis", fmt)
-    write_table(segments, f"{folder}/customer_segments", fmt)
+def write_segmentation(rfm: DataFrame, segments: DataFrame, folder: str,
+                       fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
+    return write_back(rfm, f"{folder}/rfm_analysis", fmt), write_back(segments, f"{folder}/customer_segments", fmt)
 
 
-def write_correlations(results: dict[str, DataFrame | None], folder: str, fmt: str = "parquet") -> list[str]:
-    """General (Pearson view and all methods), lag, rolling, by segment, by product."""
-    written = []
+def write_correlations(results: dict[str, DataFrame | None], folder: str,
+                       fmt: str = "parquet") -> dict[str, DataFrame | None]:
+    """General (Pearson view and all methods), lag, rolling, by segment, by product, where non-empty."""
+    stored: dict[str, DataFrame | None] = {}
     for name in ("general", "lag", "rolling", "by_segment", "by_product"):
         df = results.get(name)
-        if df is None:
-            continue
         path = f"{folder}/correlation_{name}{'_methods' if name == 'general' else ''}"
-        if not write_unless_empty(df, path, fmt):
-            continue
-        if name == "general":
-            methods = df.sparkSession.read.schema(df.schema).format(fmt).option("header", True).load(path)
-            write_table(pearson_view(methods), f"{folder}/correlation_general", fmt)
-        written.append(name)
-    return written
+        stored[name] = None if df is None else write_unless_empty(df, path, fmt)
+    if stored["general"] is not None:
+        write_table(pearson_view(stored["general"]), f"{folder}/correlation_general", fmt)
+    return stored
 
 
 def pearson_view(general: DataFrame) -> DataFrame:
