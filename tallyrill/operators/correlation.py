@@ -46,24 +46,30 @@ def interpretation(results: DataFrame, r: str = "r") -> DataFrame:
         "strength": strength_label(r), "direction": direction_label(r), "influence": influence_label(r)})
 
 
-def lag_correlation(daily: DataFrame, max_lag: int = MAX_LAG, keys: list[str] | None = None) -> DataFrame | None:
-    """Sales against engagement shifted by 0..max_lag rows along the date.
+def lagged_rows(daily: DataFrame, max_lag: int = MAX_LAG, keys: list[str] | None = None) -> DataFrame:
+    """Sales next to engagement of 0..max_lag rows earlier along the date, one row per lag.
 
-    All shifts come from one sort; unpivoted rows are aggregated per lag.
+    All shifts come from one sort; rows without an earlier partner are left out.
     """
-    if "avg_engagement" not in daily.columns:
-        return None
     keys = keys or []
     along = Window.partitionBy(*keys).orderBy("date")
     lags = range(max_lag + 1)
-    shifted = daily.select(*keys, F.col("total_sales").alias("_x"), *[
+    shifted = daily.select(*keys, "total_sales", *[
         F.lag("avg_engagement", k).over(along).alias(f"_y{k}") for k in lags])
-    long = shifted.select(*keys, "_x", F.explode(F.array(*[
-        F.struct(F.lit(k).cast("bigint").alias("lag_days"), F.col(f"_y{k}").alias("_y"))
+    long = shifted.select(*keys, "total_sales", F.explode(F.array(*[
+        F.struct(F.lit(k).cast("bigint").alias("lag_days"), F.col(f"_y{k}").alias("engagement"))
         for k in lags])).alias("_l"))
-    valid = long.select(*keys, "_x", "_l.lag_days", "_l._y").dropna(subset=["_x", "_y"])
-    out = valid.groupBy(*keys, "lag_days").agg(
-        pearson("_x", "_y").alias("correlation"), F.count(F.lit(1)).alias("n_samples"))
+    return long.select(*keys, "_l.lag_days", "total_sales", "_l.engagement").dropna(
+        subset=["total_sales", "engagement"])
+
+
+def lag_correlation(daily: DataFrame, max_lag: int = MAX_LAG, keys: list[str] | None = None) -> DataFrame | None:
+    """Correlation per lag, for lags with enough pairs."""
+    if "avg_engagement" not in daily.columns:
+        return None
+    keys = keys or []
+    out = lagged_rows(daily, max_lag, keys).groupBy(*keys, "lag_days").agg(
+        pearson("total_sales", "engagement").alias("correlation"), F.count(F.lit(1)).alias("n_samples"))
     out = out.filter(F.col("n_samples") >= MIN_SAMPLES).withColumn("p_value", pearson_p("correlation", "n_samples"))
     return out.select(*keys, "lag_days", "correlation", "p_value",
                       significant("p_value").alias("significant"), "n_samples")

@@ -73,10 +73,10 @@ def product_day(sales: DataFrame, product_col: str) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value and their share in percent, null values left out."""
-    kept = df.filter(F.col(column).isNotNull())
-    total = kept.agg(F.count(F.lit(1))).scalar()
-    return (kept.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("share_pct", F.col("n") * 100.0 / total))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    # the total repeats the plan of the counts, so their shuffle is run once and reused
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("share_pct", F.col("n") * 100.0 / total)
 
 
 def most_frequent(df: DataFrame, column: str, top: int = 1) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyrill import schemas
 from tallyrill.functions.scalar import round_even
@@ -28,19 +28,21 @@ CENTER_SHIFT = 0.005
 def rfm(sales: DataFrame) -> DataFrame:
     """One row per customer: recency in days, frequency, monetary and three more measures.
 
-    One aggregation; the reference date is a scalar from a scan of the date column alone.
+    The facts are read once. Their per-customer aggregate is written, and the reference date, the
+    latest over all customers, is a scalar taken from that much smaller table.
     """
-    latest = sales.agg(F.max("date")).scalar()
-    grouped = sales.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+    grouped = write_once(sales.groupBy("customer_id").agg(
         F.max("date").alias("_last"),
         F.count("transaction_id").alias("frequency"),
         F.coalesce(F.sum("amount"), F.lit(0.0)).alias("monetary"),
         F.avg("amount").alias("avg_order_value"),
         F.coalesce(F.sum("quantity"), F.lit(0)).alias("total_quantity"),
         F.countDistinct("product_id").alias("product_diversity"),
-    )
-    return grouped.select("customer_id", F.datediff(latest, "_last").cast("bigint").alias("recency"),
-                          "frequency", "monetary", "avg_order_value", "total_quantity", "product_diversity")
+    ), "customers")
+    latest = grouped.agg(F.max("_last")).scalar()
+    return grouped.filter(F.col("customer_id").isNotNull()).select(
+        "customer_id", F.datediff(latest, "_last").cast("bigint").alias("recency"),
+        "frequency", "monetary", "avg_order_value", "total_quantity", "product_diversity")
 
 
 def standardized(customers: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
@@ -148,8 +150,7 @@ def principal_components(customers: DataFrame, n: int = 2) -> tuple[DataFrame, l
 
 
 def segment_report(segments: DataFrame) -> DataFrame:
-    """Size, share and averages per label."""
-    total = segments.agg(F.count(F.lit(1))).scalar()
+    """Size, share and averages per label; the share is taken over the few label rows."""
     out = segments.groupBy("segment_name").agg(
         F.count(F.lit(1)).alias("customers"),
         F.avg("recency").alias("avg_recency"),
@@ -159,7 +160,8 @@ def segment_report(segments: DataFrame) -> DataFrame:
         F.avg("product_diversity").alias("avg_product_diversity"),
         F.sum("monetary").alias("total_value"),
     )
-    return out.withColumn("share_pct", F.col("customers") * 100.0 / total)
+    every = Window.partitionBy()
+    return out.withColumn("share_pct", F.col("customers") * 100.0 / F.sum("customers").over(every))
 
 
 def segment_strategies(spark) -> DataFrame:
@@ -173,8 +175,8 @@ def with_strategies(report: DataFrame) -> DataFrame:
 
 
 def segment_customers(sales: DataFrame, k: int = N_CLUSTERS, seeds: tuple[int, ...] | None = None) -> dict:
-    """Customer metrics, labelled clusters, components and report; metrics are written once."""
-    customers = write_once(rfm(sales), "rfm")
+    """Customer metrics, labelled clusters, components and report."""
+    customers = rfm(sales)
     clustering = cluster(customers, k, seeds)
     segments = write_once(label_segments(clustering.assigned, customers), "segments")
     components, ratios = principal_components(customers)

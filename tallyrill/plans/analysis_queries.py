@@ -9,7 +9,8 @@ from tallyrill.functions.stats import pearson, pearson_p, significant
 from tallyrill.operators import association, cleaning, correlation, quality, reporting, rollups, segmentation
 from tallyrill.plans import star
 from tallyrill.plans.registry import VIEWS, add, day, pearson_p_sql, rnd, rnd_value, sql, tidy
-from tallyrill.plans.rollup_queries import _clean_posts, _holes, _HOLES, _merged
+from tallyrill.plans.rollup_queries import _holes, _HOLES, _merged
+from tallyrill.scratch import write_once
 
 # -- tests of association ---------------------------------------------------------------------
 
@@ -138,6 +139,13 @@ add("c2_lag_by_series",
           FROM keyed_daily, (SELECT unnest(range(0, 15)) AS k)) WHERE y IS NOT NULL
         GROUP BY ALL HAVING count(*) >= 10)""", "keyed_daily"))
 
+add("w1_row_shift",
+    lambda s, d: tidy(correlation.lagged_rows(star.long_daily(s, d)).groupBy("lag_days").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("engagement").alias("engagement"), F.sum("total_sales").alias("total_sales")),
+        4, engagement=6),
+    sql(f"""SELECT lag_days, count(*) AS n, {rnd('sum(y)', 6, 'engagement')}, {rnd('sum(x)', 4, 'total_sales')}
+        FROM lg GROUP BY lag_days""", "long_daily", lg=_lag_sql("long_daily")))
+
 _HORIZON = "CASE WHEN lag_days = 0 THEN 'inmediato' WHEN lag_days <= 3 THEN 'corto plazo' ELSE 'mediano plazo' END"
 
 add("c3_best_lag", lambda s, d: tidy(correlation.best_lag(correlation.lag_correlation(star.long_daily(s, d)))),
@@ -196,8 +204,8 @@ _BY_PRODUCT = f"""SELECT product, {_R.format(x='product_sales', y='e')} AS r, co
 _PRODUCT_COLUMNS = ["date", "product_name", "quantity", "amount"]
 
 
-def _by_product(s, d):
-    return correlation.correlation_by_product(star.sales(s, d, _PRODUCT_COLUMNS), star.long_daily(s, d))
+def _by_product(s, d, daily=None):
+    return correlation.correlation_by_product(star.sales(s, d, _PRODUCT_COLUMNS), daily or star.long_daily(s, d))
 
 
 add("c6_by_product", lambda s, d: tidy(_by_product(s, d), total_sales=4),
@@ -231,7 +239,7 @@ def _clustered(s, d):
 
 def _segments(s, d):
     """Customers labelled by rule, with the market segment as the given cluster."""
-    return segmentation.label_segments(segmentation.write_once(_clustered(s, d), "clustered"))
+    return segmentation.label_segments(write_once(_clustered(s, d), "clustered"))
 
 
 _RFM_OUT = f"""customer_id, recency, frequency, {rnd('monetary', 4, 'monetary')},
@@ -257,7 +265,7 @@ add("a10_segment_report", lambda s, d: tidy(segmentation.segment_report(_segment
 
 
 def _quantile_rows(s, d):
-    q = segmentation.rfm_quantiles(segmentation.write_once(_rfm(s, d), "rfm"))
+    q = segmentation.rfm_quantiles(_rfm(s, d))
     return s.createDataFrame([(c, p, float(v)) for (c, p), v in q.items()], "feature string, prob double, value double")
 
 
@@ -309,8 +317,9 @@ add("j4_segment_day_engagement",
         LEFT JOIN long_daily USING (date)""", "sales", "segments", "long_daily", sd=_SEGMENT_DAY))
 
 
-def _by_segment(s, d):
-    return correlation.correlation_by_segment(star.sales(s, d, _SEGMENT_SALES), star.long_daily(s, d), _segments(s, d))
+def _by_segment(s, d, daily=None):
+    return correlation.correlation_by_segment(
+        star.sales(s, d, _SEGMENT_SALES), daily or star.long_daily(s, d), _segments(s, d))
 
 
 _BY_SEGMENT = """SELECT segment_name AS segment, corr(segment_sales, e) AS r, count(*) AS n, avg(segment_sales) AS a FROM
@@ -328,11 +337,15 @@ add("f17_segment_bars",
     sql(f"""SELECT segment, {rnd('r', 6, 'correlation')}, CASE WHEN r >= 0.5 THEN 'strong' WHEN r >= 0.3 THEN 'moderate'
         ELSE 'weak' END AS band FROM b""", "sales", "segments", "long_daily", sd=_SEGMENT_DAY, b=_BY_SEGMENT))
 
-add("c9_report",
-    lambda s, d: tidy(correlation.report({
-        "lag": correlation.lag_correlation(star.long_daily(s, d)),
-        "rolling": correlation.rolling_correlation(star.long_daily(s, d)),
-        "by_product": _by_product(s, d), "by_segment": _by_segment(s, d)})),
+
+def _report(s, d):
+    daily = write_once(star.long_daily(s, d), "daily")  # four analyses read it
+    return tidy(correlation.report({
+        "lag": correlation.lag_correlation(daily), "rolling": correlation.rolling_correlation(daily),
+        "by_product": _by_product(s, d, daily), "by_segment": _by_segment(s, d, daily)}))
+
+
+add("c9_report", _report,
     sql(f"""SELECT * FROM (
         SELECT 'rolling_avg' AS section, CAST(window_days AS VARCHAR) AS item, {rnd('avg(r)', 6, 'value')}
           FROM ro GROUP BY window_days
@@ -349,18 +362,18 @@ add("c9_report",
 
 
 def _kmeans(s, d):
-    customers = segmentation.write_once(_rfm(s, d), "rfm")
+    customers = _rfm(s, d)
     assigned = segmentation.cluster(customers, seeds=(42, 43, 44)).assigned
     return tidy(rollups.value_counts(assigned, "segment"), 4)
 
 
 def _components(s, d):
-    customers = segmentation.write_once(_rfm(s, d), "rfm")
-    return tidy(segmentation.principal_components(customers, 2)[0].select("customer_id", "pc1", "pc2"), 6)
+    customers = _rfm(s, d)
+    return tidy(segmentation.principal_components(customers, 2)[0].select("customer_id", "pc1", "pc2"), 5)
 
 
 def _zscores(s, d):
-    customers = segmentation.write_once(_rfm(s, d), "rfm")
+    customers = _rfm(s, d)
     return tidy(segmentation.standardized(customers).select("customer_id", "z_recency", "z_frequency", "z_monetary"))
 
 
@@ -369,7 +382,28 @@ add("d1_zscores", _zscores,
         rnd(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()", 6, f"z_{c}")
         for c in ("recency", "frequency", "monetary")) + " FROM rfm", "rfm"))
 add("d2_kmeans", _kmeans)
-add("d4_pca", _components)
+
+# First two eigenvectors of the 3x3 correlation matrix by power iteration with deflation.
+_STEP = """SELECT k + 1 AS k, p / sqrt(p * p + q * q + w * w) AS a, q / sqrt(p * p + q * q + w * w) AS b,
+    w / sqrt(p * p + q * q + w * w) AS c FROM (SELECT k, {m}11 * a + {m}12 * b + {m}13 * c AS p,
+    {m}12 * a + {m}22 * b + {m}23 * c AS q, {m}13 * a + {m}23 * b + {m}33 * c AS w FROM {me}, {t} WHERE k < 400)"""
+_SIGN = """SELECT a * s AS a, b * s AS b, c * s AS c FROM (SELECT *, CASE WHEN abs(a) >= abs(b) AND abs(a) >= abs(c)
+    THEN sign(a) WHEN abs(b) >= abs(c) THEN sign(b) ELSE sign(c) END AS s FROM {me} WHERE k = 400)"""
+
+add("d4_pca", _components,
+    "WITH RECURSIVE" + sql(f"""SELECT customer_id, {rnd('x * v1.a + y * v1.b + z * v1.c', 5, 'pc1')},
+        {rnd('x * v2.a + y * v2.b + z * v2.c', 5, 'pc2')} FROM zs, v1, v2""", "rfm",
+        zs="SELECT customer_id, " + ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {n}" for c, n in (
+            ("recency", "x"), ("frequency", "y"), ("monetary", "z"))) + " FROM rfm",
+        m="""SELECT avg(x * x) AS c11, avg(x * y) AS c12, avg(x * z) AS c13, avg(y * y) AS c22, avg(y * z) AS c23,
+             avg(z * z) AS c33 FROM zs""",
+        p1="SELECT 0 AS k, 0.5::DOUBLE AS a, 0.6::DOUBLE AS b, 0.7::DOUBLE AS c UNION ALL " + _STEP.format(m="c", me="p1", t="m"),
+        v1=_SIGN.format(me="p1"),
+        m2="""SELECT c11 - l * a * a AS e11, c12 - l * a * b AS e12, c13 - l * a * c AS e13, c22 - l * b * b AS e22,
+              c23 - l * b * c AS e23, c33 - l * c * c AS e33 FROM (SELECT *, a * (c11 * a + c12 * b + c13 * c)
+              + b * (c12 * a + c22 * b + c23 * c) + c * (c13 * a + c23 * b + c33 * c) AS l FROM m, v1)""",
+        p2="SELECT 0 AS k, 0.9::DOUBLE AS a, 0.1::DOUBLE AS b, -0.3::DOUBLE AS c UNION ALL " + _STEP.format(m="e", me="p2", t="m2"),
+        v2=_SIGN.format(me="p2")).removeprefix("WITH"))
 add("d6_segmentation",
     lambda s, d: tidy(segmentation.segment_customers(
         star.sales(s, d, ["date", "customer_id", "product_id", "quantity", "amount", "transaction_id"]),
@@ -505,7 +539,7 @@ add("a11_platform_distribution", lambda s, d: tidy(rollups.value_counts(star.pos
 
 
 def _overview(s, d):
-    daily = star.long_daily(s, d)
+    daily = write_once(star.long_daily(s, d), "daily")
     return reporting.overview(
         star.sales(s, d, ["amount", "customer_id", "product_name"]), star.posts(s, d), daily,
         correlation.general_correlation(daily), _segments(s, d), correlation.lag_correlation(daily))

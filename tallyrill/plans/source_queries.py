@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from tallyrill.operators import quality, reporting, rollups
 from tallyrill.plans import job, star
 from tallyrill.plans.analysis_queries import _ALL_CHECKS, _all_tables
-from tallyrill.plans.registry import add, day, rnd, sql, tidy
-from tallyrill.plans.rollup_queries import _HOLES, _merged, log_lines, runs
+from tallyrill.plans.registry import add, day, rnd, rnd_value, sql, tidy
+from tallyrill.plans.rollup_queries import _FENCE, _HOLES, _merged, log_lines, runs
 from tallyrill.scratch import new_folder
 from tallyrill.sources import scan, sinks
 
@@ -149,10 +149,24 @@ add("s16_r2_output_files", _inventory)
 
 
 def _job_summary(s, d):
+    """The whole job from files; cluster-dependent rows are left to the segmentation queries."""
     done = job.run_job(s, _config(s, d))
     if done is None:
         raise RuntimeError("the job failed")
-    return tidy(job.stage_summary(done), 4)
-
-
-add("r7_r9_job", _job_summary)
+    summary = job.stage_summary(done)
+    return tidy(summary.filter(F.col("stage").isin("transformation", "validation")), 4)
+
+
+add("r7_r9_job", _job_summary,
+    sql(f"""SELECT * FROM (
+        SELECT 'transformation' AS stage, 'rows_sales' AS metric, {rnd('count(*)', 4, 'value')} FROM kept
+        UNION ALL SELECT 'transformation', 'rows_daily_aggregates', CAST(count(DISTINCT date) AS DOUBLE) FROM kept
+        UNION ALL SELECT 'transformation', 'rows_social_media_merged', CAST(count(*) AS DOUBLE) FROM raw_posts
+        UNION ALL SELECT 'transformation', 'rows_' || platform, CAST(count(*) AS DOUBLE) FROM raw_posts GROUP BY platform
+        UNION ALL SELECT 'validation', 'datasets_passed', CAST(sum(CAST(ok AS INTEGER)) AS DOUBLE) FROM v
+        UNION ALL SELECT 'validation', 'success_rate', {rnd_value('sum(CAST(ok AS INTEGER)) * 100.0 / count(*)', 4)} FROM v)""",
+        "sales", "raw_posts", fence=_FENCE.format(t="sales"),
+        kept="SELECT * FROM sales, fence WHERE quantity > 0 AND unit_price > 0 AND amount > 0 AND amount BETWEEN lo AND hi",
+        v="""SELECT year(min(date)) >= 2010 AS ok FROM kept UNION ALL SELECT year(min(date)) >= 2010 FROM kept UNION ALL
+             SELECT year(min(date)) >= 2010 FROM raw_posts UNION ALL
+             SELECT year(min(date)) >= 2010 FROM raw_posts GROUP BY platform"""))
