@@ -51,11 +51,12 @@ def customer_id_from_location(dated: DataFrame) -> DataFrame:
     place = F.coalesce(F.col("location").cast("string"), F.lit("nan"))
     rows = dated.withColumns({
         "_place": place,
-        "_block": F.floor(F.col("_dated") / LOCATION_BUCKET),
-        "_chunk": F.floor(F.col("_dated") / chunk_rows),
+        "_block": F.expr(f"_dated DIV {LOCATION_BUCKET}"),
+        "_chunk": F.expr(f"_dated DIV {chunk_rows}"),
     })
-    pairs = rows.groupBy("_chunk", "_block").agg(F.countDistinct("_place").alias("_pairs"))
-    per_chunk = pairs.groupBy("_chunk").agg(F.sum("_pairs").alias("_pairs"))
+    # a block lies in one or two written files, so most of the distinct happens before the shuffle
+    pairs = rows.select("_chunk", "_block", "_place").distinct()
+    per_chunk = pairs.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_pairs"))
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     # at most _MAX_CHUNKS rows
     offsets = per_chunk.select("_chunk", F.coalesce(F.sum("_pairs").over(before), F.lit(0)).alias("_offset"))
@@ -75,7 +76,7 @@ def customer_id_from_location(dated: DataFrame) -> DataFrame:
 
 def customer_id_from_order(dated: DataFrame) -> DataFrame:
     """Five consecutive rows along the date share a customer."""
-    return dated.withColumn("customer_id", F.floor(F.col("_dated") / PLAIN_BUCKET) + 1)
+    return dated.withColumn("customer_id", F.expr(f"_dated DIV {PLAIN_BUCKET} + 1"))
 
 
 def with_customer_id(dated: DataFrame) -> DataFrame:
