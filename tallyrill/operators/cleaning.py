@@ -15,6 +15,14 @@ REQUIRED_SALES = ("customer_id", "date", "product_name")
 POSITIVE_SALES = ("quantity", "unit_price", "amount")
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """Floating-point NaN means missing: as a number it would pass every lower bound."""
+    floating = {c for c, kind in df.dtypes if kind in ("double", "float")}
+    if not floating:
+        return df
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None)) for c in floating})
+
+
 def with_amount(df: DataFrame) -> DataFrame:
     """quantity x unit_price, less a percentage discount; an existing amount stays."""
     if "amount" in df.columns or not {"quantity", "unit_price"} <= set(df.columns):
@@ -124,6 +132,7 @@ def engagement_rate(columns: list[str], platform: str) -> Column | None:
 
 def clean_social(df: DataFrame, platform: str, order_by: list[str] | None = None) -> DataFrame:
     """Posts of one platform: first of each id, dated rows, engagement rate, calendar, platform."""
+    df = nan_to_null(df)
     ids = present(df, ("post_id", "video_id"))
     if ids:
         df = keep_first(df, ids, order_by or df.columns)
@@ -153,7 +162,7 @@ def clean_sales(df: DataFrame, order_by: list[str]) -> DataFrame:
     the outlier bounds come from the numbered rows before customer ids are worked out.
     """
     given = set(df.columns)
-    rows = with_category(with_amount(key_ops.with_row_keys(df, order_by)))
+    rows = with_category(with_amount(key_ops.with_row_keys(nan_to_null(df), order_by)))
     if "transaction_id" in given:
         if "customer_id" not in given:
             rows = key_ops.with_customer_id(rows)

@@ -50,22 +50,23 @@ def index_by_scan_order(df: DataFrame, out: str = "row_idx") -> DataFrame:
             .drop(*SCAN_ORDER, "_first", "_offset"))
 
 
-def first_appearance_codes(df: DataFrame, value: str, position: str) -> DataFrame:
-    """(value, code): distinct non-null values numbered from 0 by their first position."""
+def first_appearance_codes(df: DataFrame, value: str, order_by: list[str]) -> DataFrame:
+    """(value, code): distinct non-null values numbered from 0 by their first row along ``order_by``."""
     firsts = write_once(df.filter(F.col(value).isNotNull()).groupBy(value)
-                        .agg(F.min(position).alias("_first")), "first-positions")
+                        .agg(F.min(F.struct(*order_by)).alias("_first")), "first-rows")
     if firsts.count() <= SMALL_ROWS:
         code = F.row_number().over(Window.orderBy("_first")).cast("bigint") - 1
         return firsts.select(value, code.alias("code"))
     return write_once(contiguous_index(firsts, ["_first"], "code").drop("_first"), "codes")
 
 
-def factorize(df: DataFrame, value: str, position: str, out: str) -> DataFrame:
+def factorize(df: DataFrame, value: str, order_by: list[str], out: str) -> DataFrame:
     """Attach the first-appearance code of ``value``; null gets -1.
 
-    The code table holds one row per distinct value. It is broadcast when it has been counted as
-    small; beyond that it is a written table whose stored size decides the join.
+    The code table holds one row per distinct value, collapsed before the shuffle. It is broadcast
+    when it has been counted as small; beyond that it is a written table whose stored size decides
+    the join, with adaptive splitting of hot values.
     """
-    codes = first_appearance_codes(df, value, position).withColumnRenamed("code", out)
+    codes = first_appearance_codes(df, value, order_by).withColumnRenamed("code", out)
     return (df.join(codes, value, "left")
             .withColumn(out, F.coalesce(out, F.lit(-1).cast("bigint"))))

@@ -28,15 +28,15 @@ def with_transaction_id(df: DataFrame, position: str = POSITION) -> DataFrame:
     return df.withColumn("transaction_id", numbered_id("TXN", position))
 
 
-def with_product_id(df: DataFrame, position: str = POSITION) -> DataFrame:
+def with_product_id(df: DataFrame, order_by: list[str]) -> DataFrame:
     """Numbered from 1 by first appearance of the name; rows without a name get 0."""
-    return factorize(df, "product_name", position, "product_id").withColumn(
+    return factorize(df, "product_name", order_by, "product_id").withColumn(
         "product_id", F.col("product_id") + 1)
 
 
-def by_date(df: DataFrame, position: str = POSITION) -> DataFrame:
-    """Renumber along the date, undated rows last, ties in input order."""
-    return contiguous_index(df, [F.col("date").asc_nulls_last(), F.col(position)], "_dated")
+def by_date(df: DataFrame, order_by: list[str]) -> DataFrame:
+    """Number the rows along the date as ``_dated``, undated rows last, ties in the given order."""
+    return contiguous_index(df, [F.col("date").asc_nulls_last(), *order_by], "_dated")
 
 
 def customer_id_from_location(dated: DataFrame) -> DataFrame:
@@ -88,19 +88,15 @@ def with_customer_id(dated: DataFrame) -> DataFrame:
 def with_row_keys(df: DataFrame, order_by: list[str]) -> DataFrame:
     """Transaction and product ids where absent, and the order that decides which row is first.
 
-    Without customer ids the rows end up numbered along the date as ``_dated``. The result reads
-    from a written copy whenever rows had to be numbered.
+    Without customer ids the rows end up numbered along the date as ``_dated``. Rows are numbered,
+    and the result reads from a written copy, only where an id asks for it.
     """
-    have = set(df.columns)
-    numbered = {"transaction_id", "customer_id"} | ({"product_id"} if "product_name" in have else set())
-    if numbered <= have:
-        return df
-    out = with_position(df, order_by)
+    have, out, order = set(df.columns), df, list(order_by)
     if "transaction_id" not in have:
-        out = with_transaction_id(out)
-    if "product_id" in numbered - have:
-        out = with_product_id(out)
-    return out if "customer_id" in have else by_date(out)
+        out, order = with_transaction_id(with_position(df, order_by)), [POSITION]
+    if "product_id" not in have and "product_name" in have:
+        out = with_product_id(out, order)
+    return out if "customer_id" in have else by_date(out, order)
 
 
 def first_row_order(columns: list[str], order_by: list[str]) -> list[str]:

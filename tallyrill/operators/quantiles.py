@@ -35,6 +35,8 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[tuple
 
     ``df`` is scanned a few times: hand over a scan or a written table.
     """
+    # NaN counts as missing
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in wanted])
     targets = [_Target(c, p) for c, probs in wanted.items() for p in probs]
     margin = 3.0 / SKETCH_ACCURACY
     first = [f(c).alias(f"{tag}_{c}") for c in wanted

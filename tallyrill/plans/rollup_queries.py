@@ -293,7 +293,7 @@ add("w5_row_index",
         row_number() OVER (ORDER BY {_LINES}) - 1 AS row_idx FROM lineitem""")
 
 add("w6_factorize",
-    lambda s, d: index.factorize(_positioned(s, d, ["product_name"]), "product_name", "row_idx", "code")
+    lambda s, d: index.factorize(_positioned(s, d, ["product_name"]), "product_name", ["row_idx"], "code")
     .select("row_idx", "product_name", "code"),
     sql("""SELECT row_idx, product_name, dense_rank() OVER (ORDER BY f) - 1 AS code FROM
         (SELECT *, min(row_idx) OVER (PARTITION BY product_name) AS f FROM p)""", "sales", p=_POS))
@@ -306,7 +306,7 @@ add("g1_transaction_ids",
 
 add("g2_product_ids",
     lambda s, d: keys.with_product_id(_positioned(s, d, ["product_name"]).withColumn(
-        "product_name", F.when(~F.col("product_name").startswith("red"), F.col("product_name"))), "row_idx")
+        "product_name", F.when(~F.col("product_name").startswith("red"), F.col("product_name"))), ["row_idx"])
     .select("row_idx", "product_name", "product_id"),
     sql("""SELECT row_idx, product_name, CASE WHEN product_name IS NULL THEN 0 ELSE
         dense_rank() OVER (ORDER BY CASE WHEN product_name IS NOT NULL THEN f END NULLS LAST) END AS product_id
@@ -318,14 +318,14 @@ _DATED = "SELECT *, row_number() OVER (ORDER BY date NULLS LAST, row_idx) - 1 AS
 
 add("g3_customer_ids",
     lambda s, d: tidy(keys.customer_id_from_location(
-        keys.by_date(_positioned(s, d, ["date", "location"]), "row_idx"))
+        keys.by_date(star.sales(s, d, ["date", "location"], keep_order=True), star.LINE_ORDER))
         .select(F.col("_dated").alias("row_idx"), "date", "location", "customer_id")),
     sql(f"""SELECT pos AS row_idx, {day()}, location, dense_rank() OVER (ORDER BY f) AS customer_id FROM
         (SELECT *, min(pos) OVER (PARTITION BY pos // 10, location) AS f FROM t)""",
         "sales", p=_POS, t=_DATED))
 
 add("g4_customer_ids_plain",
-    lambda s, d: tidy(keys.customer_id_from_order(keys.by_date(_positioned(s, d, ["date"]), "row_idx"))
+    lambda s, d: tidy(keys.customer_id_from_order(keys.by_date(star.sales(s, d, ["date"], keep_order=True), star.LINE_ORDER))
                       .select(F.col("_dated").alias("row_idx"), "date", "customer_id")),
     sql(f"SELECT pos AS row_idx, {day()}, pos // 5 + 1 AS customer_id FROM t", "sales", p=_POS, t=_DATED))
 

@@ -51,6 +51,20 @@ def test_given_transaction_ids_keep_their_first_row(spark):
     assert sorted(r.transaction_id or "" for r in out.collect()) == ["", "a", "b"]
 
 
+def test_given_transactions_without_customers(spark):
+    """Blocks of rows are numbered before duplicates go."""
+    df = sales(spark, [2] * 12, transaction_id=[f"t{i % 11}" for i in range(12)])
+    out = {r.transaction_id: (r.customer_id, r.product_id) for r in cleaning.clean_sales(df, ["_n"]).collect()}
+    assert out == {f"t{i}": (i // 5 + 1, 1) for i in range(11)}
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1.0), (2.0, nan), (3.0, 4.0)], "quantity double, unit_price double")
+    assert cleaning.keep_positive(cleaning.nan_to_null(df)).count() == 1
+    assert quantiles.exact_quantiles(df, {"quantity": [0.5]}) == {("quantity", 0.5): 2.5}
+
+
 def test_missing_values(spark):
     rows = [(1, None, "a"), (None, None, "b"), (2, START, None), (3, START, "d")]
     df = spark.createDataFrame(rows, "customer_id int, date date, product_name string")
@@ -116,14 +130,14 @@ def test_codes_follow_first_appearance(spark):
     rng = random.Random(5)
     names = [rng.choice(["a", "b", "c", None, "d", "hot", "hot", "hot"]) for _ in range(400)]
     df = spark.createDataFrame(list(enumerate(names)), "row_idx long, name string").repartition(5)
-    got = {r.row_idx: r.code for r in index.factorize(df, "name", "row_idx", "code").collect()}
+    got = {r.row_idx: r.code for r in index.factorize(df, "name", ["row_idx"], "code").collect()}
     assert [got[i] for i in range(400)] == list(pd.factorize(pd.Series(names))[0])
 
 
 def test_codes_of_many_values_take_the_distributed_way(spark, monkeypatch):
     monkeypatch.setattr(index, "SMALL_ROWS", 10)
     df = spark.range(2000).select(F.col("id").alias("row_idx"), (F.col("id") * 7 % 500).alias("v"))
-    got = {r.row_idx: r.code for r in index.factorize(df, "v", "row_idx", "code").collect()}
+    got = {r.row_idx: r.code for r in index.factorize(df, "v", ["row_idx"], "code").collect()}
     assert [got[i] for i in range(2000)] == list(pd.factorize(np.array([i * 7 % 500 for i in range(2000)]))[0])
 
 
@@ -134,7 +148,7 @@ def test_customer_ids_from_location(spark, monkeypatch, chunk):
     rows = [(i, START + dt.timedelta(days=rng.randrange(9)) if rng.random() > 0.1 else None,
              rng.choice(["x", "x", "x", "y", None])) for i in range(333)]
     df = spark.createDataFrame(rows, "row_idx long, date date, location string").repartition(4)
-    got = {r.row_idx: r.customer_id for r in keys.customer_id_from_location(keys.by_date(df, "row_idx")).collect()}
+    got = {r.row_idx: r.customer_id for r in keys.customer_id_from_location(keys.by_date(df, ["row_idx"])).collect()}
     ordered = sorted(rows, key=lambda r: (r[1] is None, r[1] or START, r[0]))
     names = [f"{r[2] if r[2] is not None else 'nan'}_{pos // 10}" for pos, r in enumerate(ordered)]
     want = {r[0]: code + 1 for r, code in zip(ordered, pd.factorize(pd.Series(names))[0])}
@@ -143,7 +157,7 @@ def test_customer_ids_from_location(spark, monkeypatch, chunk):
 
 def test_customer_ids_without_location(spark):
     df = sales(spark, range(1, 13)).withColumnRenamed("_n", "row_idx")
-    got = {r.row_idx: r.customer_id for r in keys.customer_id_from_order(keys.by_date(df, "row_idx")).collect()}
+    got = {r.row_idx: r.customer_id for r in keys.customer_id_from_order(keys.by_date(df, ["row_idx"])).collect()}
     assert [got[i] for i in range(12)] == [i // 5 + 1 for i in range(12)]
 
 
