@@ -214,14 +214,19 @@ def scatter_points(daily: DataFrame) -> DataFrame:
 
 def analyze(daily: DataFrame, segments: DataFrame | None, sales: DataFrame,
             noise_seed: str | None = None) -> dict[str, DataFrame | None]:
-    """All analyses as lazy tables."""
+    """All analyses as lazy tables, in their reporting order."""
+    def ordered(df: DataFrame | None, *by) -> DataFrame | None:
+        return None if df is None else df.orderBy(*by)
+
+    by_segment = None
+    if segments is not None and "avg_engagement" in daily.columns:
+        by_segment = correlation_by_segment(sales, daily, segments, noise_seed)
     return {
         "general": general_correlation(daily),
-        "lag": lag_correlation(daily),
-        "rolling": rolling_correlation(daily),
-        "by_segment": None if segments is None or "avg_engagement" not in daily.columns
-        else correlation_by_segment(sales, daily, segments, noise_seed),
-        "by_product": correlation_by_product(sales, daily),
+        "lag": ordered(lag_correlation(daily), "lag_days"),
+        "rolling": ordered(rolling_correlation(daily), "window_days"),
+        "by_segment": ordered(by_segment, F.col("correlation").desc(), "segment"),
+        "by_product": ordered(correlation_by_product(sales, daily), F.col("correlation").desc(), "product"),
     }
 
 

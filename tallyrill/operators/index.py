@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyrill.scratch import write_once
@@ -22,10 +24,12 @@ def contiguous_index(df: DataFrame, order_by: list[str | Column], out: str = "ro
                .withColumn("_seq", F.monotonically_increasing_id()))
     kept = write_once(ordered, "ordered-rows")
     part = F.shiftright("_seq", _SEQ_BITS)
-    sizes = kept.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # bounded by the number of shuffle partitions of the ordered copy
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    # one row per shuffle partition of the ordered copy: read off once, so that no later use of
+    # the numbered rows counts them again
+    sizes = sorted(tuple(r) for r in kept.groupBy(part).agg(F.count(F.lit(1))).collect())
+    starts = accumulate((n for _, n in sizes), initial=0)
+    offsets = df.sparkSession.createDataFrame(
+        [(p, start) for (p, _), start in zip(sizes, starts)], "_part bigint, _offset bigint")
     local = F.col("_seq").bitwiseAND(F.lit((1 << _SEQ_BITS) - 1))
     return (kept.withColumn("_part", part).join(F.broadcast(offsets), "_part")
             .withColumn(out, F.col("_offset") + local).drop("_seq", "_part", "_offset"))
