@@ -42,6 +42,7 @@ PARAPHRASE_SHARE = 0.5
 ANSWER_WORDS = 5
 MAX_ITEM_WORDS = 20_000_000
 _ROWS = 1 << 13
+_SLICES = 16
 
 
 def term_numbers(words: np.ndarray, terms: np.ndarray) -> np.ndarray:
@@ -120,8 +121,12 @@ def contains(region: np.ndarray, answer: np.ndarray) -> bool:
 
 
 def _sum_of_products(rows: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """A'A right, where the rows of A are the TF-IDF passages: partial products per task, summed over the cluster."""
+    """A'A right, where the rows of A are the TF-IDF passages: partial products per task, summed over the cluster.
+
+    Terms travel in ``_SLICES`` slices, each a block of numbers, so the driver gets one row per slice.
+    """
     terms, width = right.shape
+    cuts = [(s * terms // _SLICES, (s + 1) * terms // _SLICES) for s in range(_SLICES)]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, seen = np.zeros((terms + 1, width)), False
@@ -135,14 +140,17 @@ def _sum_of_products(rows: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.
             for n, w in zip(number, weight):
                 np.add.at(total, n, w[:, None] * (w @ wide[n])[None])
         if seen:
-            used = np.flatnonzero(np.abs(total[:terms]).sum(axis=1))
-            yield pd.DataFrame({"term": used, "v": list(total[used])})
+            yield pd.DataFrame([(s, total[a:b].tobytes()) for s, (a, b) in enumerate(cuts) if a < b], columns=["s", "m"])
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(m) for m in part["m"])
+        return pd.DataFrame({"s": [part["s"].iloc[0]], "m": [total.tobytes()]})
 
-    summed = rows.mapInPandas(run, "term int, v array<double>").select(
-        "term", F.posexplode("v").alias("j", "x")).groupBy("term", "j").agg(F.sum("x").alias("x"))
     out = np.zeros((terms, width))
-    for r in summed.toPandas().itertuples(index=False):
-        out[r.term, r.j] = r.x
+    shape = "s int, m binary"
+    for r in rows.mapInPandas(run, shape).groupBy("s").applyInPandas(add, shape).toLocalIterator():
+        a, b = cuts[r["s"]]
+        out[a:b] = np.frombuffer(r["m"]).reshape(b - a, width)
     return out
 
 
