@@ -9,9 +9,10 @@ The trie is fixed while texts are scored, so a symbol's probability depends on i
 bytes alone, and what the longer context excludes from a shorter one is one number per context:
 every level is a sum and a join over the cluster, and the trie is never held in one place.
 
-Documents are dealt into blocks of about ``BLOCK_BYTES`` bytes by a hash. A block sends the distinct
-words and byte runs it holds, once, and gets back their counts and probabilities; its texts are
-scored with those.
+Documents form blocks of at most about ``BLOCK_BYTES`` bytes: those of one input file, dealt by a
+hash where a file holds more. A block sends the distinct words and byte runs it holds, once, and
+gets back their counts and probabilities; its texts are scored with those. Words that no other block
+holds are not sent back, as the block's own count is all there is.
 
 A text is its lower-cased (A-Z) UTF-8 bytes and an end symbol; contexts at its start are filled with
 a byte that no text holds. Defined cases: a null text is empty and scored for its end alone; null
@@ -23,16 +24,16 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyrill.llm.common import hashed_words, text_batches, write_once
 
-ORDER = 5
-BLOCK_BYTES = 8 << 20
+ORDER = 4
+BLOCK_BYTES = 32 << 20
 _PAD, _STOP = 0xFF, 0xFE  # neither occurs in UTF-8
 _SYMBOLS = 255  # all bytes but the filling one
 _LOWER = bytes(i + 32 if 0x41 <= i <= 0x5A else i for i in range(256))
-_WORD, _RUN = 0, 1
+_WORD, _RUN, _OWN = 0, 1, 2  # _OWN: a word that one block alone holds
 
 
 def runs(texts: list, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,50 +127,78 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     ``base_score`` is the smoothed unigram log10 probability of the words and an end, ``score`` the
     model's log10 probability of the text, ``n_known`` the tokens that occur in training.
     """
-    spark = docs.sparkSession
-    text_batches(spark)
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), held_out.alias("held_out"))
-    size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n"),
-                    F.sum((~F.col("held_out")).cast("long")).alias("train")).first()
-    blocks = max(1, -(-((size["b"] or 0) + 64 * size["n"]) // block_bytes))
+    rows = rows.withColumn("file", F.xxhash64(F.input_file_name()))
+    files = rows.groupBy("file").agg(F.sum(F.octet_length("text") + F.lit(64)).alias("b"),
+                                     F.sum((~F.col("held_out")).cast("long")).alias("train"))
+    size = files.agg(F.max("b").alias("b"), F.sum("train").alias("train")).first()
+    parts = max(1, -(-(size["b"] or 0) // block_bytes))
     train_docs = size["train"] or 0
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-
-    def gather(part: pd.DataFrame) -> pd.DataFrame:
-        texts, train = part["text"].tolist(), ~part["held_out"].to_numpy(bool)
-        kinds: dict[int, list] = {_WORD: [], _RUN: []}
-        for i, j in _slices(texts):
-            for kind, (keys, offsets) in ((_WORD, hashed_words(texts[i:j])), (_RUN, runs(texts[i:j], order))):
-                counted = np.repeat(train[i:j], np.diff(offsets))
-                own, where = np.unique(keys.view(np.int64), return_inverse=True)
-                kinds[kind].append((own, np.bincount(where, counted, len(own)).astype(np.int64)))
-        out = []
-        for kind, found in kinds.items():
-            keys = np.concatenate([k for k, _ in found])
-            own, where = np.unique(keys, return_inverse=True)
-            n = np.bincount(where, np.concatenate([c for _, c in found]), len(own)).astype(np.int64)
-            out.append(pd.DataFrame({"block": part["block"].iloc[0], "kind": kind, "key": own, "n": n}))
-        return pd.concat(out)
-
-    held = write_once(rows.groupBy("block").applyInPandas(gather, "block int, kind int, key long, n long"), "block-keys")
-    total = write_once(held.groupBy("kind", "key").agg(F.sum("n").alias("n")), "keys")
-    words = total.where(F.col("kind") == _WORD)
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))
+    rows = rows.select("doc_id", "text", "held_out", F.xxhash64("file", part).alias("block"))
+
+    def counted(texts: list, train: np.ndarray, kind: int, first: int, last: int):
+        keys, offsets = hashed_words(texts[first:last]) if kind == _WORD else runs(texts[first:last], order)
+        own, where = np.unique(keys.view(np.int64), return_inverse=True)
+        return own, np.bincount(where, np.repeat(train[first:last], np.diff(offsets)), len(own)).astype(np.int64)
+
+    def summed(found: list) -> tuple[np.ndarray, np.ndarray]:
+        own, where = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+        return own, np.bincount(where, np.concatenate([c for _, c in found]), len(own)).astype(np.int64)
+
+    def gather(batches):
+        """Distinct keys of the blocks a task meets, sent on whenever a block's worth of text was read."""
+        held: dict = {}
+        read = 0
+
+        def send():
+            for (block, kind), found in held.items():
+                own, n = summed(found)
+                yield pd.DataFrame({"block": np.int64(block), "kind": np.int32(kind), "key": own, "n": n})
+            held.clear()
+
+        for batch in batches:
+            for block, part in batch.groupby("block", sort=False):
+                texts, train = part["text"].tolist(), ~part["held_out"].to_numpy(bool)
+                read += sum(map(len, texts))
+                for i, j in _slices(texts):
+                    for kind in (_WORD, _RUN):
+                        found = held.setdefault((block, kind), [])
+                        found.append(counted(texts, train, kind, i, j))
+                        if len(found) == 8:
+                            found[:] = [summed(found)]
+            if read > 2 * block_bytes:
+                yield from send()
+                read = 0
+        yield from send()
+
+    sightings = rows.mapInPandas(gather, "block long, kind int, key long, n long")
+    whole = Window.partitionBy("kind", "key")  # one row per block and task that holds the key, at most
+    named = sightings.select("block", "kind", "key", F.sum("n").over(whole).alias("n"),
+                             (F.min("block").over(whole) == F.max("block").over(whole)).alias("alone"))
+    alone = F.col("alone") & (F.col("kind") == _WORD)
+    held = write_once(named.select("block", F.when(alone, _OWN).otherwise(F.col("kind")).alias("kind"), "key", "n"), "keys")
+    # A block's tasks may each have sent a key; a key that stands alone is then there more than once.
+    words = held.where(F.col("kind") != _RUN).groupBy("key").agg(F.max("n").alias("n"))
     tokens = words.where("n > 0").agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_train, distinct = (tokens["n"] or 0) + train_docs, tokens["v"] + (train_docs > 0)
-    learnt = total.where((F.col("kind") == _RUN) & (F.col("n") > 0)).select("key", "n")
-    chances = probabilities(total.where(F.col("kind") == _RUN).select("key"), trie(learnt, order))
-    values = (words.select("kind", "key", F.col("n").cast("double").alias("x"))
-              .unionAll(chances.select(F.lit(_RUN).alias("kind"), "key", F.col("lp").alias("x"))))
-    sent = held.select("block", "kind", "key").join(values, ["kind", "key"])
+    run_counts = write_once(held.where(F.col("kind") == _RUN).groupBy("key").agg(F.max("n").alias("n")), "run-counts")
+    chances = probabilities(run_counts.select("key"), trie(run_counts.where("n > 0"), order))
+    sent = (held.where(F.col("kind") == _WORD).select("block", "kind", "key", F.col("n").cast("double").alias("x"))
+            .unionAll(held.where(F.col("kind") == _RUN).join(chances, "key").select("block", "kind", "key", F.col("lp").alias("x"))))
     floor = n_train + 0.5 * (distinct + 1)
 
     def judge(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        texts = part["text"].tolist()
+        texts, train = part["text"].tolist(), ~part["held_out"].to_numpy(bool)
         tables = {}
         for kind in (_WORD, _RUN):
-            own = known[known["kind"] == kind]
+            own = known[known["kind"] == kind].drop_duplicates("key")
             tables[kind] = pd.Index(own["key"].to_numpy(np.int64)), own["x"].to_numpy()
+        mine, n = summed([counted(texts, train, _WORD, i, j) for i, j in _slices(texts)])
+        at = tables[_WORD][0].get_indexer(mine)
+        tables[_WORD] = pd.Index(mine), np.where(at >= 0, np.append(tables[_WORD][1], 0.0)[at], n)
 
         def sums(kind, keys, offsets, of):
             index, x = tables[kind]
