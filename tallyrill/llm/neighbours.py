@@ -29,10 +29,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyrill.llm.common import write_once
 
-TREES = 8
+TREES = 10
 LEAF = 100
 SAMPLE = 32_768
-VISIT_SHARE = 1.2
+VISIT_SHARE = 1.6
 SECTIONS = 8
 BLOCK = 16_384
 QUERY_BLOCK = 2048
