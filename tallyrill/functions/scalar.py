@@ -26,9 +26,14 @@ def round_even(c: Column | str, digits: int) -> Column:
     return F.rint(col(c) * F.lit(scale)) / F.lit(scale)
 
 
-def to_day(c: Column | str) -> Column:
-    """Day of a date, timestamp or ISO text; anything unreadable becomes null."""
-    return F.to_date(F.try_to_timestamp(col(c).cast("string")))
+# Written date forms that are tried after ISO text, month before day where both are numbers.
+DATE_PATTERNS = ("M/d/yyyy", "yyyy/M/d", "MMM d yyyy", "MMM d, yyyy", "d MMM yyyy", "MMMM d, yyyy", "d/M/yyyy")
+
+
+def to_day(c: Column | str, patterns: tuple[str, ...] = DATE_PATTERNS) -> Column:
+    """Day of a date, timestamp, ISO text or text in one of ``patterns``, tried in turn; else null."""
+    text = F.trim(col(c).cast("string"))
+    return F.to_date(F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(p)) for p in patterns]))
 
 
 def numbered_id(prefix: str, index: Column | str, width: int = 6) -> Column:

@@ -363,7 +363,7 @@ add("c9_report", _report,
 
 def _kmeans(s, d):
     customers = _rfm(s, d)
-    assigned = segmentation.cluster(customers, seeds=(42, 43, 44)).assigned
+    assigned = segmentation.cluster(customers).assigned
     return tidy(rollups.value_counts(assigned, "segment"), 4)
 
 
@@ -406,8 +406,7 @@ add("d4_pca", _components,
         v2=_SIGN.format(me="p2")).removeprefix("WITH"))
 add("d6_segmentation",
     lambda s, d: tidy(segmentation.segment_customers(
-        star.sales(s, d, ["date", "customer_id", "product_id", "quantity", "amount", "transaction_id"]),
-        seeds=(42, 43, 44))["report"].drop("actions"), 2))
+        star.sales(s, d, ["date", "customer_id", "product_id", "quantity", "amount", "transaction_id"]))["report"].drop("actions"), 2))
 
 # -- quality suites ---------------------------------------------------------------------------
 

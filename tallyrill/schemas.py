@@ -16,11 +16,12 @@ SALES_RENAMES = {
     "productname": "product_name",
 }
 
-# Type of each canonical sales column; any other column stays text.
+# Type of each canonical sales column; any other column stays text. Ids are text as
+# written; a whole-number column becomes double where the file holds fractions.
 SALES_TYPES = {
     "transaction_id": "string",
-    "product_id": "bigint",
-    "customer_id": "bigint",
+    "product_id": "string",
+    "customer_id": "string",
     "product_name": "string",
     "category": "string",
     "quantity": "bigint",
@@ -44,7 +45,7 @@ def _struct(**fields: str) -> T.StructType:
     return T.StructType([T.StructField(name, kinds[kind]) for name, kind in fields.items()])
 
 
-# Dates arrive as ISO text and are coerced after the scan.
+# Types of the columns a platform's file may have; dates arrive as text and are coerced after the scan.
 SOCIAL_SCHEMAS = {
     "instagram": _struct(
         post_id="s", date="s", product_promoted="s", influencer_tier="s", followers="l", reach="l",

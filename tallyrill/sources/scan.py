@@ -81,10 +81,20 @@ def read_sales_csv(spark: SparkSession, path: str, multi_line: bool | None = Non
     named = raw.select(
         *[F.col(f"`{c}`").alias(n) for c, n in zip(data_columns, canonical_sales_names(data_columns))],
         *[c for c in raw.columns if c in SCAN_ORDER])
-    return typed_sales(named)
+    return typed_sales(named, fractional_columns(named))
 
 
-def typed_sales(df: DataFrame) -> DataFrame:
+def fractional_columns(df: DataFrame) -> set[str]:
+    """Columns meant for whole numbers that hold fractions; one look at those columns alone."""
+    names = [c for c in df.columns if schemas.SALES_TYPES.get(c) == "bigint"]
+    if not names:
+        return set()
+    value = {c: missing_to_null(F.trim(F.col(f"`{c}`"))).try_cast("double") for c in names}
+    found = df.agg(*[F.bool_or(v != F.floor(v)).alias(c) for c, v in value.items()]).first()
+    return {c for c in names if found[c]}
+
+
+def typed_sales(df: DataFrame, fractional: set[str] = frozenset()) -> DataFrame:
     out = []
     for name in df.columns:
         c = F.col(f"`{name}`")
@@ -92,6 +102,8 @@ def typed_sales(df: DataFrame) -> DataFrame:
             out.append(c)
         elif name == "date":
             out.append(to_day(missing_to_null(c)).alias(name))
+        elif name in fractional:
+            out.append(missing_to_null(F.trim(c)).try_cast("double").alias(name))
         elif schemas.SALES_TYPES.get(name) == "bigint":
             # whole numbers may be written "3.0"
             number = missing_to_null(F.trim(c))
@@ -106,17 +118,23 @@ def typed_sales(df: DataFrame) -> DataFrame:
 def read_social_json(spark: SparkSession, path: str, platform: str, enabled: bool = True,
                      json_lines: bool = False, schema: T.StructType | None = None,
                      keep_order: bool = False) -> DataFrame | None:
-    """Posts of one platform; None where the source is disabled.
+    """Posts of one platform with the columns its file has; None where the source is disabled.
+
+    Known columns get their known types, further ones keep what the file holds, and absent ones stay
+    absent: later steps derive what is missing and checks report it.
 
     A record array is one JSON document, so each file is read by one task: spread large inputs
     over files, or hand them over as JSON lines, which stay splittable.
     """
     if not enabled:
         return None
-    df = (spark.read.schema(schema or schemas.SOCIAL_SCHEMAS[platform])
-          .option("multiLine", not json_lines).json(path))
+    reader = spark.read.option("multiLine", not json_lines)
+    df = (reader.schema(schema) if schema else reader).json(path)
     if keep_order:
         df = with_scan_order(df)
+    if not schema:
+        kinds = {f.name: f.dataType for f in schemas.SOCIAL_SCHEMAS[platform].fields}
+        df = df.select(*[F.col(f"`{c}`").try_cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns])
     return df.withColumn("date", to_day("date")) if "date" in df.columns else df
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyrill.operators import cleaning, index, keys, quantiles
+from tallyrill.sources import scan
 
 START = dt.date(2024, 1, 1)
 
@@ -35,12 +36,12 @@ def test_amounts_are_derived(spark):
 
 
 def test_invalid_rows_are_removed(spark):
-    df = sales(spark, [1, -1, 2, 0, 3, 1, 2, -5, 1, 2])
+    df = sales(spark, [0, 6, 7, -2, 6, 8])
     out = cleaning.clean_sales(df, ["_n"])
-    assert out.filter("quantity <= 0").isEmpty() and 0 < out.count() < 10
+    assert sorted(r.quantity for r in out.collect()) == [6, 6, 7, 8]
     assert {"year", "month", "quarter", "day_of_week", "day_name", "week", "is_weekend"} <= set(out.columns)
     counts = cleaning.invalid_counts(df).first()
-    assert (counts.invalid_quantity, counts.invalid_unit_price, counts.rows_kept) == (3, 0, 7)
+    assert (counts.invalid_quantity, counts.invalid_unit_price, counts.rows_kept) == (2, 0, 4)
 
 
 def test_given_transaction_ids_keep_their_first_row(spark):
@@ -73,12 +74,32 @@ def test_missing_values(spark):
 
 
 def test_outlier_is_removed(spark):
-    df = spark.createDataFrame([(float(v),) for v in (10, 12, 11, 13, 10, 12, 100, 11, 10, 12)], "amount double")
-    assert 100.0 not in {r.amount for r in cleaning.drop_outliers(df, "amount").collect()}
+    # Quartiles 23 and 27: the fence is 17 to 33.
+    df = spark.createDataFrame([(float(v),) for v in (16, 22, 24, 26, 32, 20, 24, 28, 33.5, 24, 24)], "amount double")
+    kept = sorted(r.amount for r in cleaning.drop_outliers(df, "amount").collect())
+    assert kept == [20, 22, 24, 24, 24, 24, 26, 28, 32]
     assert cleaning.drop_outliers(df, "other") is df
     assert cleaning.drop_outliers(df.filter("amount > 1000"), "amount").count() == 0
 
 
+def test_written_forms_of_dates_and_ids_survive_a_scan(spark, tmp_path):
+    path = tmp_path / "sales.csv"
+    path.write_text("Date,Product Name,Units Sold,Price,Customer ID\n2024-03-05,a,3.7,2,C001\n03/06/2024,b,1,2,C002\n"
+                    "Mar 7 2024,c,2,2,0007\n8 Mar 2024,d,4,2,C004\nsoon,e,4,2,C005\n")
+    rows = scan.read_sales_csv(spark, str(path)).orderBy("product_name").collect()
+    assert [str(r.date) for r in rows] == ["2024-03-05", "2024-03-06", "2024-03-07", "2024-03-08", "None"]
+    assert [r.quantity for r in rows] == [3.7, 1, 2, 4, 4]
+    assert [r.customer_id for r in rows] == ["C001", "C002", "0007", "C004", "C005"]
+
+
+def test_rate_is_derived_from_a_file_that_has_none(spark, tmp_path):
+    path = tmp_path / "instagram.json"
+    path.write_text('[{"post_id": "p", "date": "2024-03-05", "likes": 50, "comments": 9, "shares": 1, "followers": 400, "mood": "x"}]')
+    df = scan.read_social_json(spark, str(path), "instagram")
+    assert "engagement_rate" not in df.columns and "reach" not in df.columns and "mood" in df.columns
+    assert cleaning.clean_social(df, "instagram").first().engagement_rate == 0.15
+
+
 @pytest.mark.parametrize("platform, columns, want", [
     ("instagram", {"likes": 100, "comments": 20, "shares": 10, "followers": 1000}, 0.13),
     ("tiktok", {"likes": 100, "comments": 20, "shares": 10, "views": 1000}, 0.13),
