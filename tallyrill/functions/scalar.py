@@ -85,10 +85,6 @@ def clip(value: Column, low: float, high: float) -> Column:
     return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))
 
 
-def boosted(value: Column, factor: float = 1.5, cap: float = 1.0) -> Column:
-    return F.when(value.isNotNull(), F.least(value * F.lit(factor), F.lit(cap)))
-
-
 def strength_label(r: Column | str) -> Column:
     a = F.abs(col(r))
     return (F.when(a >= 0.7, "fuerte").when(a >= 0.5, "moderada-fuerte").when(a >= 0.3, "moderada")
@@ -125,13 +121,6 @@ def segment_weight(label: Column | str) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), col(label)), F.lit(1.0))
 
 
-def hash_uniform(seed: str, *parts: Column, low: float = 0.0, high: float = 1.0) -> Column:
-    """Reproducible uniform number from a hash of the row's own key."""
-    digest = F.md5(F.concat_ws("|", F.lit(seed), *[p.cast("string") for p in parts]))
-    unit = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(16 ** 12))
-    return F.lit(low) + F.lit(high - low) * unit
-
-
 def age_text(seconds: Column) -> Column:
     """Minutes below one hour, hours from there on."""
     return F.when(

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyrill.functions.scalar import (
-    direction_label, hash_uniform, horizon_label, influence_label, segment_band, segment_weight,
+    direction_label, horizon_label, influence_label, segment_band, segment_weight,
     sign_band, strength_label)
 from tallyrill.functions.stats import pearson, pearson_p, significant
 from tallyrill.operators.association import association_tests
@@ -166,13 +166,10 @@ def segment_day(sales: DataFrame, segments: DataFrame) -> DataFrame:
                  F.sum("_n").alias("segment_transactions")))
 
 
-def correlation_by_segment(sales: DataFrame, daily: DataFrame, segments: DataFrame,
-                           noise_seed: str | None = None) -> DataFrame:
-    """Sales per segment against weighted engagement; hash noise of +-20 % only on request."""
+def correlation_by_segment(sales: DataFrame, daily: DataFrame, segments: DataFrame) -> DataFrame:
+    """Sales per segment against weighted engagement."""
     days = attach_engagement(segment_day(sales, segments), daily)
     weighted = F.col("avg_engagement") * segment_weight("segment_name")
-    if noise_seed is not None:
-        weighted = weighted * hash_uniform(noise_seed, F.col("date"), F.col("segment_name"), low=0.8, high=1.2)
     out = days.withColumn("_e", weighted).groupBy(F.col("segment_name").alias("segment")).agg(
         pearson("segment_sales", "_e").alias("correlation"),
         F.count(F.lit(1)).alias("n_samples"),
@@ -212,15 +209,14 @@ def scatter_points(daily: DataFrame) -> DataFrame:
     return joint_days(daily).select("date", "avg_engagement", "total_sales", line.alias("fitted"))
 
 
-def analyze(daily: DataFrame, segments: DataFrame | None, sales: DataFrame,
-            noise_seed: str | None = None) -> dict[str, DataFrame | None]:
+def analyze(daily: DataFrame, segments: DataFrame | None, sales: DataFrame) -> dict[str, DataFrame | None]:
     """All analyses as lazy tables, in their reporting order."""
     def ordered(df: DataFrame | None, *by) -> DataFrame | None:
         return None if df is None else df.orderBy(*by)
 
     by_segment = None
     if segments is not None and "avg_engagement" in daily.columns:
-        by_segment = correlation_by_segment(sales, daily, segments, noise_seed)
+        by_segment = correlation_by_segment(sales, daily, segments)
     return {
         "general": general_correlation(daily),
         "lag": ordered(lag_correlation(daily), "lag_days"),

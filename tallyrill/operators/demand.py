@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyrill.functions.scalar import boosted, clip, hash_uniform, scale_between
+from tallyrill.functions.scalar import clip, scale_between
 from tallyrill.operators.rollups import date_spine, day_totals
 
 DEFAULT_INDEX = 0.5
@@ -25,15 +25,11 @@ def momentum_days(totals: DataFrame) -> DataFrame:
     }).withColumn("boost", F.coalesce(F.col("previous_quantity") > F.col("p75"), F.lit(False)))
 
 
-def demand_index(sales: DataFrame, noise_seed: str | None = None) -> DataFrame:
-    """(date, demand_index) within [0.2, 1.0]; hash noise only on request."""
+def demand_index(sales: DataFrame) -> DataFrame:
+    """(date, demand_index) within [0.2, 1.0]."""
     days = momentum_days(day_totals(sales))
     base = scale_between(F.col("quantity"), F.col("low"), F.col("high"), 0.2, 0.85, DEFAULT_INDEX)
     value = base * F.when(F.col("boost"), F.lit(MOMENTUM)).otherwise(F.lit(1.0))
-    if noise_seed is not None:
-        value = value * hash_uniform(noise_seed, F.col("date"), low=0.75, high=1.25)
-        peak = hash_uniform(noise_seed + "/peak", F.col("date")) < 0.1
-        value = F.when(peak, boosted(value)).otherwise(value)
     return days.select("date", clip(value, 0.2, 1.0).alias("demand_index"))
 
 
@@ -73,6 +69,6 @@ def nearest_by_date(wanted: DataFrame, index: DataFrame, value: str, keys: list[
     return filled.select(*marks, F.coalesce(picked, F.lit(default)).alias(value))
 
 
-def index_on_spine(sales: DataFrame, noise_seed: str | None = None) -> DataFrame:
+def index_on_spine(sales: DataFrame) -> DataFrame:
     """Demand index for every calendar day of the sales period."""
-    return nearest_by_date(date_spine(sales), demand_index(sales, noise_seed), "demand_index")
+    return nearest_by_date(date_spine(sales), demand_index(sales), "demand_index")

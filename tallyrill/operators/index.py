@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyrill.scratch import write_once
 from tallyrill.sources.scan import SCAN_ORDER
 
-SMALL_ROWS = 100_000  # counted tables up to this size may be numbered in one partition
 _SEQ_BITS = 33  # monotonically_increasing_id: partition above, position in partition below
 
 
@@ -35,17 +34,24 @@ def contiguous_index(df: DataFrame, order_by: list[str | Column], out: str = "ro
             .withColumn(out, F.col("_offset") + local).drop("_seq", "_part", "_offset"))
 
 
+def by_number(name: str) -> Column:
+    """Text whose order is that of ``name`` with its numbers compared by value: each padded to 20 digits."""
+    padded = F.regexp_replace(name, r"(\d+)", "0" * 20 + "$1")
+    return F.regexp_replace(padded, r"\d*(\d{20})", "$1")
+
+
 def index_by_scan_order(df: DataFrame, out: str = "row_idx") -> DataFrame:
-    """0, 1, 2, ... along the source position of ``with_scan_order``; moves no rows.
+    """0, 1, 2, ... along the source position of ``with_scan_order``.
 
-    Splits of the input are counted and summed up in file order; the table of splits has one row
-    per read block, and the optimizer picks the join by its size.
+    Splits of the input are counted and summed up in file order, numbers in file names by their value.
+    The table of splits has one row per read block. The optimizer picks the join by its size: rows stay
+    in place while it fits the broadcast limit and are shuffled by split beyond it.
     """
     file_, block, seq = SCAN_ORDER
     kept = write_once(df, "scanned-rows")
     splits = kept.groupBy(file_, block).agg(
         F.count(F.lit(1)).alias("_size"), F.min(seq).alias("_first"))
-    before = Window.orderBy(file_, block).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(by_number(file_), file_, block).rowsBetween(Window.unboundedPreceding, -1)
     # written first: its measured size lets the plan broadcast it without shuffling the rows
     offsets = write_once(splits.select(
         file_, block, "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")), "splits")
@@ -56,20 +62,17 @@ def index_by_scan_order(df: DataFrame, out: str = "row_idx") -> DataFrame:
 
 def first_appearance_codes(df: DataFrame, value: str, order_by: list[str]) -> DataFrame:
     """(value, code): distinct non-null values numbered from 0 by their first row along ``order_by``."""
-    firsts = write_once(df.filter(F.col(value).isNotNull()).groupBy(value)
-                        .agg(F.min(F.struct(*order_by)).alias("_first")), "first-rows")
-    if firsts.count() <= SMALL_ROWS:
-        code = F.row_number().over(Window.orderBy("_first")).cast("bigint") - 1
-        return firsts.select(value, code.alias("code"))
+    # the minimum of one number is a hash aggregate; that of a struct sorts every row
+    first = F.min(order_by[0]) if len(order_by) == 1 else F.min(F.struct(*order_by))
+    firsts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(first.alias("_first"))
     return write_once(contiguous_index(firsts, ["_first"], "code").drop("_first"), "codes")
 
 
 def factorize(df: DataFrame, value: str, order_by: list[str], out: str) -> DataFrame:
     """Attach the first-appearance code of ``value``; null gets -1.
 
-    The code table holds one row per distinct value, collapsed before the shuffle. It is broadcast
-    when it has been counted as small; beyond that it is a written table whose stored size decides
-    the join, with adaptive splitting of hot values.
+    The code table holds one row per distinct value, collapsed before the shuffle. It is a written
+    table whose stored size decides the join, with adaptive splitting of hot values.
     """
     codes = first_appearance_codes(df, value, order_by).withColumnRenamed("code", out)
     return (df.join(codes, value, "left")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyrill.functions.scalar import numbered_id
@@ -13,8 +11,8 @@ from tallyrill.sources.scan import SCAN_ORDER
 POSITION = "_position"
 LOCATION_BUCKET = 10
 PLAIN_BUCKET = 5
-_CHUNK_ROWS = 20_000  # rows of one running count; a multiple of the location bucket
-_MAX_CHUNKS = 100_000
+CHUNK_ROWS = 20_000  # rows of one running count; a multiple of the location bucket
+_CHUNKS_PER_GROUP = 10_000
 
 
 def with_position(df: DataFrame, order_by: list[str]) -> DataFrame:
@@ -39,15 +37,13 @@ def by_date(df: DataFrame, order_by: list[str]) -> DataFrame:
     return contiguous_index(df, [F.col("date").asc_nulls_last(), *order_by], "_dated")
 
 
-def customer_id_from_location(dated: DataFrame) -> DataFrame:
+def customer_id_from_location(dated: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Numbered from 1 by first appearance of (location, block of ten rows along the date).
 
     Blocks are consecutive positions, so a code is the number of pairs that first appeared
     earlier: whole pairs before the row's chunk of positions, plus a running count inside it.
     No group is larger than one chunk, whatever the dates and locations.
     """
-    total = dated.count()
-    chunk_rows = max(_CHUNK_ROWS, math.ceil(total / _MAX_CHUNKS / LOCATION_BUCKET) * LOCATION_BUCKET)
     place = F.coalesce(F.col("location").cast("string"), F.lit("nan"))
     rows = dated.withColumns({
         "_place": place,
@@ -57,9 +53,14 @@ def customer_id_from_location(dated: DataFrame) -> DataFrame:
     # a block lies in one or two written files, so most of the distinct happens before the shuffle
     pairs = rows.select("_chunk", "_block", "_place").distinct()
     per_chunk = pairs.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_pairs"))
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    # at most _MAX_CHUNKS rows
-    offsets = per_chunk.select("_chunk", F.coalesce(F.sum("_pairs").over(before), F.lit(0)).alias("_offset"))
+    # sums in two levels: chunks inside their group, and one row per group of 10,000 chunks
+    grouped = per_chunk.withColumn("_group", F.expr(f"_chunk DIV {_CHUNKS_PER_GROUP}"))
+    ahead = (Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("_pairs").over(Window.partitionBy("_group").orderBy("_chunk").rowsBetween(*ahead)), F.lit(0))
+    groups = grouped.groupBy("_group").agg(F.sum("_pairs").alias("_all"))
+    earlier = F.coalesce(F.sum("_all").over(Window.orderBy("_group").rowsBetween(*ahead)), F.lit(0))
+    offsets = (grouped.withColumn("_inside", inside).join(groups.withColumn("_earlier", earlier), "_group")
+               .select("_chunk", (F.col("_earlier") + F.col("_inside")).alias("_offset")))
 
     # both windows run on one sort: blocks follow each other along the date
     in_block = Window.partitionBy("_chunk", "_block").orderBy("_dated").rowsBetween(Window.unboundedPreceding, 0)
@@ -69,7 +70,7 @@ def customer_id_from_location(dated: DataFrame) -> DataFrame:
     opened = listed.withColumn("_seen", F.sum((first_at == F.size("_places")).cast("bigint")).over(in_chunk))
     before_block = F.col("_seen") - F.size(F.array_distinct("_places"))
     local = before_block + F.size(F.array_distinct(F.slice("_places", F.lit(1), first_at)))
-    return (opened.join(F.broadcast(offsets), "_chunk")
+    return (opened.join(offsets, "_chunk")
             .withColumn("customer_id", F.col("_offset") + local)
             .drop("_place", "_block", "_chunk", "_places", "_seen", "_offset"))
 

@@ -1,151 +1,79 @@
 """Exact, linearly interpolated quantiles of columns of any size.
 
-The built-in exact ``percentile`` keeps every distinct value of a column in one buffer. Here a
-bounded sketch brackets the wanted ranks, one aggregate counts what lies below and inside the
-brackets, and only the few values inside are read out. Counts, not the sketch, decide the result.
+The built-in exact ``percentile`` keeps every distinct value of a column in one buffer. Here equal
+values are counted, the counted values are written in order, and the sizes of the written parts say
+which part holds a wanted rank. Only those parts get running counts, and two values per quantile
+reach the driver.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections import defaultdict
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-READ_OUT = 100_000  # values inside one bracket that may be read out
-SKETCH_ACCURACY = 10_000
-_MAX_NARROWINGS = 4
-
-
-@dataclass
-class _Target:
-    column: str
-    prob: float
-    low: float = 0.0
-    high: float = 0.0
-    rank: int = 0
-    weight: float = 0.0
-    below: int = 0
-    inside: int = 0
-    value: float | None = None
+from tallyrill.scratch import write_once
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[tuple[str, float], float | None]:
-    """{(column, probability): value}; None for a column without values.
+    """{(column, probability): value}; None for a column without values. NaN counts as missing.
 
-    ``df`` is scanned a few times: hand over a scan or a written table.
+    ``df`` is read once; repeated values collapse before they move.
     """
-    # NaN counts as missing
-    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in wanted])
-    targets = [_Target(c, p) for c, probs in wanted.items() for p in probs]
-    margin = 3.0 / SKETCH_ACCURACY
-    first = [f(c).alias(f"{tag}_{c}") for c in wanted
-             for f, tag in ((F.count, "n"), (F.min, "low"), (F.max, "high"))]
-    for c, probs in wanted.items():
-        cuts = [cut for p in probs for cut in (max(p - margin, 0.0), min(p + margin, 1.0))]
-        first.append(F.percentile_approx(c, cuts, SKETCH_ACCURACY).alias(f"q_{c}"))
-    row = df.agg(*first).first()
-    live = []
-    for t in targets:
-        n = row[f"n_{t.column}"]
-        if not n:
-            continue
-        spot = wanted[t.column].index(t.prob)
-        t.low, t.high = float(row[f"q_{t.column}"][2 * spot]), float(row[f"q_{t.column}"][2 * spot + 1])
-        exact_rank = (n - 1) * t.prob
-        t.rank, t.weight = math.floor(exact_rank), exact_rank - math.floor(exact_rank)
-        if n <= READ_OUT:  # the whole column is small enough to be one bracket
-            t.low, t.high, t.inside = float(row[f"low_{t.column}"]), float(row[f"high_{t.column}"]), n
-        live.append(t)
-
-    small = [t for t in live if t.inside]
-    live = [t for t in live if not t.inside]
-    for _ in range(_MAX_NARROWINGS):
-        if not live:
-            break
-        _count(df, live)
-        for t in live:
-            if not _covers(t):
-                t.value = _builtin(df, t)
-            elif t.low == t.high:
-                t.value = t.low
-        live = [t for t in live if t.value is None]
-        wide = [t for t in live if t.inside > READ_OUT]
-        if not wide:
-            break
-        _narrow(df, wide)
-    else:
-        _count(df, live)
-    if small or live:
-        _read_out(df, small + live)
-    return {(t.column, t.prob): t.value for t in targets}
-
-
-def _inside(t: _Target):
-    return F.col(t.column).between(F.lit(t.low), F.lit(t.high))
-
-
-def _count(df: DataFrame, live: list[_Target]) -> None:
-    if not live:
-        return
-    aggs = []
-    for i, t in enumerate(live):
-        aggs.append(F.count(F.when(F.col(t.column) < F.lit(t.low), 1)).alias(f"b{i}"))
-        aggs.append(F.count(F.when(_inside(t), 1)).alias(f"i{i}"))
-    row = df.agg(*aggs).first()
-    for i, t in enumerate(live):
-        t.below, t.inside = row[f"b{i}"], row[f"i{i}"]
-
-
-def _covers(t: _Target) -> bool:
-    last = t.rank + (1 if t.weight > 0 else 0)
-    return t.below <= t.rank and last < t.below + t.inside
-
-
-def _narrow(df: DataFrame, wide: list[_Target]) -> None:
-    margin = 3.0 / SKETCH_ACCURACY
-    aggs = []
-    for i, t in enumerate(wide):
-        spot = (t.rank - t.below + t.weight) / max(t.inside - 1, 1)
-        cuts = [max(spot - margin, 0.0), min(spot + margin, 1.0)]
-        aggs.append(F.percentile_approx(F.when(_inside(t), F.col(t.column)), cuts, SKETCH_ACCURACY)
-                    .alias(f"q{i}"))
-    row = df.agg(*aggs).first()
-    for i, t in enumerate(wide):
-        t.low, t.high = float(row[f"q{i}"][0]), float(row[f"q{i}"][1])
-
-
-def _read_out(df: DataFrame, live: list[_Target]) -> None:
-    """Counted distinct values of every bracket; repeated values collapse before they move."""
-    brackets = sorted({(t.column, t.low, t.high) for t in live})
-    cells = F.array(*[
-        F.when(F.col(c).between(F.lit(low), F.lit(high)),
-               F.struct(F.lit(i).alias("b"), F.col(c).cast("double").alias("v")))
-        for i, (c, low, high) in enumerate(brackets)])
-    counted = (df.select(F.explode(F.filter(cells, lambda c: c.isNotNull())).alias("c"))
-               .groupBy("c.b", "c.v").agg(F.count(F.lit(1)).alias("n")))
-    limit = READ_OUT * len(brackets)
-    rows = counted.limit(limit + 1).collect()
-    values = {b: sorted((r["v"], r["n"]) for r in rows if r["b"] == i) for i, b in enumerate(brackets)}
-    for t in live:
-        if len(rows) > limit or not _covers(t):
-            t.value = _builtin(df, t)
-            continue
-        at, low, high = t.below, None, None
-        for value, n in values[(t.column, t.low, t.high)]:
-            at += n
-            if low is None and at > t.rank:
-                low = value
-            if at > t.rank + (1 if t.weight > 0 else 0):
-                high = value
-                break
-        t.value = _between(low, high, t.weight)
+    columns = list(wanted)
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("v"))
+                      for i, c in enumerate(columns)])
+    counted = (df.select(F.explode(cells).alias("_cell")).select("_cell.*").filter(F.col("v").isNotNull())
+               .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
+    values = write_once(counted.repartitionByRange("c", "v").sortWithinPartitions("c", "v")
+                        .withColumn("part", F.spark_partition_id()), "value-counts")
+    # one row per written part, and one more for each column that begins inside a part
+    sizes = values.groupBy("c", "part").agg(F.sum("n").alias("n")).collect()
+    parts: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for row in sorted(sizes):
+        parts[row["c"]].append((row["part"], row["n"]))
+
+    spots: dict[tuple[str, float], tuple[float, list[tuple[int, int, int]]]] = {}
+    for i, c in enumerate(columns):
+        total = sum(n for _, n in parts[i])
+        for prob in wanted[c] if total else ():
+            exact = (total - 1) * prob
+            low = math.floor(exact)
+            ranks = {low, min(low + 1, total - 1)}
+            spots[(c, prob)] = exact - low, [_spot(i, parts[i], rank) for rank in sorted(ranks)]
+    found = _values_at(values, sorted({s for _, held in spots.values() for s in held}))
+    out: dict[tuple[str, float], float | None] = {(c, p): None for c, probs in wanted.items() for p in probs}
+    for key, (weight, held) in spots.items():
+        out[key] = _between(found[held[0]], found[held[-1]], weight)
+    return out
+
+
+def _spot(column: int, parts: list[tuple[int, int]], rank: int) -> tuple[int, int, int]:
+    """(column, part, rank inside the part) of a rank inside the column."""
+    for part, n in parts:
+        if rank < n:
+            return column, part, rank
+        rank -= n
+    raise IndexError(rank)
+
+
+def _values_at(values: DataFrame, spots: list[tuple[int, int, int]]) -> dict[tuple[int, int, int], float]:
+    if not spots:
+        return {}
+    asked = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(part).alias("part"), F.lit(rank).cast("bigint").alias("rank"))
+                      for c, part, rank in spots])
+    held = values.filter(F.struct("c", "part").isin(
+        *[F.struct(F.lit(c).alias("c"), F.lit(part).alias("part")) for c, part in sorted({s[:2] for s in spots})]))
+    upto = F.sum("n").over(Window.partitionBy("c", "part").orderBy("v"))
+    hits = (held.withColumn("upto", upto)
+            .withColumn("hit", F.explode(F.filter(asked, lambda s: (
+                (s["c"] == F.col("c")) & (s["part"] == F.col("part")) & (s["rank"] < F.col("upto"))
+                & (s["rank"] >= F.col("upto") - F.col("n"))))))
+            .select("hit.*", "v").collect())
+    return {(r["c"], r["part"], r["rank"]): r["v"] for r in hits}
 
 
 def _between(low: float, high: float, weight: float) -> float:
     gap = high - low
     return high - gap * (1 - weight) if weight >= 0.5 else low + gap * weight
-
-
-def _builtin(df: DataFrame, t: _Target) -> float:
-    return df.agg(F.percentile(t.column, F.lit(t.prob)).alias("q")).first()["q"]

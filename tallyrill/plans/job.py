@@ -87,56 +87,54 @@ def run_job(spark: SparkSession, config: dict | None = None, tables: dict[str, D
     history = conf["output"].get("history_path", f"{folder}/execution_history")
     record = RunRecord(start_time=_now())
     results: dict = {"stats": record}
-    written_before = scratch.mark()
     stage = STAGES[0]
     try:
-        if tables is None:
-            raw = scan.read_all_sources(spark, conf, keep_order=True)
-            order_by = list(scan.SCAN_ORDER)
-        else:
-            raw = tables
-        record.stages_completed.append(stage)
-
-        stage = STAGES[1]
-        data = transform_all(raw, order_by or [], lambda name, df: sinks.write_unless_empty(
-            df, f"{folder}/{name}_processed", fmt))
-        results["data"] = data
-        results["missing_outputs"] = quality.missing_outputs(set(data))
-        record.stages_completed.append(stage)
-
-        stage = STAGES[2]
-        if conf["pipeline"].get("enable_validation", True):
-            details = sinks.write_back(quality.validate_tables(data), f"{folder}/validation_checks", fmt)
-            verdicts = quality.dataset_verdicts(details, [n for n in quality.SUITES if n in data])
-            results["validation"] = {"details": details, "verdicts": verdicts}
-            results["report_path"] = sinks.write_validation_report(
-                verdicts, details, f"{folder}/validation", record.start_time)
-        record.stages_completed.append(stage)
-
-        stage = STAGES[3]
-        if "sales" not in data:
-            raise ValueError("no sales to segment")
-        seg = segmentation.segment_customers(data["sales"])
-        seg["rfm"], seg["segments"] = sinks.write_segmentation(seg["rfm"], seg["segments"], folder, fmt)
-        seg["pca"] = sinks.write_back(seg["pca"], f"{folder}/segments_pca", fmt)
-        seg["report"] = segmentation.with_strategies(segmentation.segment_report(seg["segments"]))
-        results["segmentation"] = seg
-        record.stages_completed.append(stage)
-
-        stage = STAGES[4]
-        missing = [n for n in ("sales", "daily_aggregates") if n not in data]
-        if missing:
-            raise ValueError(f"missing tables: {missing}")
-        found = correlation.analyze(data["daily_aggregates"], seg["segments"], data["sales"])
-        results["correlation"] = sinks.write_correlations(found, folder, fmt)
-        record.stages_completed.append(stage)
-        record.status = "completed"
+        with scratch.scope(spark):  # every result of the run reads from the output folder
+            if tables is None:
+                raw = scan.read_all_sources(spark, conf, keep_order=True)
+                order_by = list(scan.SCAN_ORDER)
+            else:
+                raw = tables
+            record.stages_completed.append(stage)
+
+            stage = STAGES[1]
+            data = transform_all(raw, order_by or [], lambda name, df: sinks.write_unless_empty(
+                df, f"{folder}/{name}_processed", fmt))
+            results["data"] = data
+            results["missing_outputs"] = quality.missing_outputs(set(data))
+            record.stages_completed.append(stage)
+
+            stage = STAGES[2]
+            if conf["pipeline"].get("enable_validation", True):
+                details = sinks.write_back(quality.validate_tables(data), f"{folder}/validation_checks", fmt)
+                verdicts = quality.dataset_verdicts(details, [n for n in quality.SUITES if n in data])
+                results["validation"] = {"details": details, "verdicts": verdicts}
+                results["report_path"] = sinks.write_validation_report(
+                    verdicts, details, f"{folder}/validation", record.start_time)
+            record.stages_completed.append(stage)
+
+            stage = STAGES[3]
+            if "sales" not in data:
+                raise ValueError("no sales to segment")
+            seg = segmentation.segment_customers(data["sales"])
+            seg["rfm"], seg["segments"] = sinks.write_segmentation(seg["rfm"], seg["segments"], folder, fmt)
+            seg["pca"] = sinks.write_back(seg["pca"], f"{folder}/segments_pca", fmt)
+            seg["report"] = segmentation.with_strategies(segmentation.segment_report(seg["segments"]))
+            results["segmentation"] = seg
+            record.stages_completed.append(stage)
+
+            stage = STAGES[4]
+            missing = [n for n in ("sales", "daily_aggregates") if n not in data]
+            if missing:
+                raise ValueError(f"missing tables: {missing}")
+            found = correlation.analyze(data["daily_aggregates"], seg["segments"], data["sales"])
+            results["correlation"] = sinks.write_correlations(found, folder, fmt)
+            record.stages_completed.append(stage)
+            record.status = "completed"
     except Exception as problem:  # the job reports every failure the same way
         record.status = "failed"
         record.stages_failed.append(stage)
         record.errors.append(f"{problem}\n{traceback.format_exc()}")
-    finally:
-        scratch.drop_since(spark, written_before)  # every result now reads from the output folder
     record.end_time = _now()
     record.duration_seconds = (record.end_time - record.start_time).total_seconds()
     ok = record.status == "completed"

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from tallyrill.operators import quality, reporting, rollups
 from tallyrill.plans import job, star
-from tallyrill.plans.analysis_queries import _ALL_CHECKS, _all_tables
-from tallyrill.plans.registry import add, day, rnd, rnd_value, sql, tidy
+from tallyrill.plans.analysis_queries import (
+    _ALL_CHECKS, _BY_PRODUCT, _LAGGED, _RANKS, _all_tables, _lag_sql, _tie,
+)
+from tallyrill.plans.registry import VIEWS, add, day, rnd, rnd_value, sql, tidy
 from tallyrill.plans.rollup_queries import _FENCE, _HOLES, _merged, log_lines, runs
 from tallyrill.scratch import new_folder
 from tallyrill.sources import scan, sinks
@@ -56,9 +58,14 @@ add("s4_s11_social_json", _json_posts,
     sql(f"SELECT id, {day()}, platform, likes, comments, shares, audience FROM raw_posts", "raw_posts"))
 
 
-def _config(s, d):
+# The given orders end years before the given posts begin; so many days later they overlap.
+LATER = 8401
+
+
+def _config(s, d, later=0):
     root = new_folder(s, "landing")
-    sinks.write_table(raw_sales(s, d), f"{root}/sales.csv", "csv")
+    day_name = RAW_HEADERS["date"]
+    sinks.write_table(raw_sales(s, d).withColumn(day_name, F.date_add(day_name, later)), f"{root}/sales.csv", "csv")
     social = {}
     for platform in ("instagram", "tiktok", "youtube"):
         sinks.write_json_records(star.raw_posts(s, d, platform), f"{root}/{platform}.json")
@@ -149,12 +156,15 @@ add("s16_r2_output_files", _inventory)
 
 
 def _job_summary(s, d):
-    """The whole job from files; cluster-dependent rows are left to the segmentation queries."""
-    done = job.run_job(s, _config(s, d))
+    """The whole job from files. Customers per segment and the number of correlated segments are left out:
+
+    the files carry no customer ids, so they follow the order of rows in the files, which SQL does not see.
+    """
+    done = job.run_job(s, _config(s, d, LATER))
     if done is None:
         raise RuntimeError("the job failed")
     summary = job.stage_summary(done)
-    return tidy(summary.filter(F.col("stage").isin("transformation", "validation")), 4)
+    return tidy(summary.filter((F.col("stage") != "segmentation") & (F.col("metric") != "analysed_by_segment")), 4)
 
 
 add("r7_r9_job", _job_summary,
@@ -164,9 +174,25 @@ add("r7_r9_job", _job_summary,
         UNION ALL SELECT 'transformation', 'rows_social_media_merged', CAST(count(*) AS DOUBLE) FROM raw_posts
         UNION ALL SELECT 'transformation', 'rows_' || platform, CAST(count(*) AS DOUBLE) FROM raw_posts GROUP BY platform
         UNION ALL SELECT 'validation', 'datasets_passed', CAST(sum(CAST(ok AS INTEGER)) AS DOUBLE) FROM v
-        UNION ALL SELECT 'validation', 'success_rate', {rnd_value('sum(CAST(ok AS INTEGER)) * 100.0 / count(*)', 4)} FROM v)""",
-        "sales", "raw_posts", fence=_FENCE.format(t="sales"),
-        kept="SELECT * FROM sales, fence WHERE quantity > 0 AND unit_price > 0 AND amount > 0 AND amount BETWEEN lo AND hi",
+        UNION ALL SELECT 'validation', 'success_rate', {rnd_value('sum(CAST(ok AS INTEGER)) * 100.0 / count(*)', 4)} FROM v
+        UNION ALL SELECT 'correlation', 'pearson_r', {rnd_value('corr(x, y)', 4)} FROM ranks
+        UNION ALL SELECT 'correlation', 'spearman_r', {rnd_value('corr(rx, ry)', 4)} FROM ranks
+        UNION ALL SELECT 'correlation', 'kendall_r', {rnd_value('s / (sqrt(n * (n - 1) / 2 - tx.tie) * sqrt(n * (n - 1) / 2 - ty.tie))', 4)}
+          FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM o), tx, ty,
+               (SELECT sum(sign(a.x - b.x) * sign(a.y - b.y)) AS s FROM o a JOIN o b ON a.i < b.i)
+        UNION ALL (SELECT 'correlation', 'best_lag', CAST(lag_days AS DOUBLE) FROM l ORDER BY abs(r) DESC, lag_days LIMIT 1)
+        UNION ALL SELECT 'correlation', 'analysed_by_product', CAST(count(*) AS DOUBLE) FROM bp WHERE r IS NOT NULL AND NOT isnan(r))""",
+        "raw_posts", sales=VIEWS["sales"], fence=_FENCE.format(t="sales"),
+        kept=f"SELECT sales.* REPLACE (date + {LATER} AS date) FROM sales, fence WHERE quantity > 0 AND unit_price > 0 AND amount > 0 AND amount BETWEEN lo AND hi",
+        rated="""SELECT date, round_even((likes + comments + CASE platform WHEN 'youtube' THEN 0 ELSE shares END)
+                 / nullif(CAST(audience AS DOUBLE), 0), 4) AS rate FROM raw_posts""",
+        job_daily="""SELECT date, total_sales, coalesce(avg_engagement, 0) AS avg_engagement
+            FROM (SELECT date, sum(amount) AS total_sales FROM kept GROUP BY date)
+            LEFT JOIN (SELECT date, avg(rate) AS avg_engagement FROM rated GROUP BY date) USING (date)""",
+        ranks=_RANKS.format(k="", g="1", t="job_daily"),
+        o="SELECT total_sales AS x, avg_engagement AS y, row_number() OVER (ORDER BY date) AS i FROM job_daily",
+        tx=_tie("x", False), ty=_tie("y", False), lg=_lag_sql("job_daily"), l=_LAGGED,
+        bp=_BY_PRODUCT.replace("FROM sales", "FROM kept").replace("long_daily", "job_daily"),
         v="""SELECT year(min(date)) >= 2010 AS ok FROM kept UNION ALL SELECT year(min(date)) >= 2010 FROM kept UNION ALL
              SELECT year(min(date)) >= 2010 FROM raw_posts UNION ALL
              SELECT year(min(date)) >= 2010 FROM raw_posts GROUP BY platform"""))

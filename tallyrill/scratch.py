@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_fallback: str | None = None
-_written: list[str] = []
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,19 +41,25 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
-    _written.append(path)
+    scope = _written.get()
+    if scope is not None:
+        scope.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def mark() -> int:
-    """Position in the list of written tables, for ``drop_since``."""
-    return len(_written)
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables written inside, and only those; no frame that reads them may be used afterwards.
 
-
-def drop_since(spark: SparkSession, position: int) -> None:
-    """Remove the tables written after ``mark``; no frame that reads them may be used afterwards."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for path in _written[position:]:
-        target = hadoop.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    del _written[position:]
+    Runs side by side in threads of one driver each have their own scope.
+    """
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in paths:
+            target = hadoop.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

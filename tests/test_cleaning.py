@@ -155,21 +155,19 @@ def test_codes_follow_first_appearance(spark):
     assert [got[i] for i in range(400)] == list(pd.factorize(pd.Series(names))[0])
 
 
-def test_codes_of_many_values_take_the_distributed_way(spark, monkeypatch):
-    monkeypatch.setattr(index, "SMALL_ROWS", 10)
+def test_codes_of_many_values(spark):
     df = spark.range(2000).select(F.col("id").alias("row_idx"), (F.col("id") * 7 % 500).alias("v"))
     got = {r.row_idx: r.code for r in index.factorize(df, "v", ["row_idx"], "code").collect()}
     assert [got[i] for i in range(2000)] == list(pd.factorize(np.array([i * 7 % 500 for i in range(2000)]))[0])
 
 
 @pytest.mark.parametrize("chunk", [10, 50, 20_000])
-def test_customer_ids_from_location(spark, monkeypatch, chunk):
-    monkeypatch.setattr(keys, "_CHUNK_ROWS", chunk)
+def test_customer_ids_from_location(spark, chunk):
     rng = random.Random(11)
     rows = [(i, START + dt.timedelta(days=rng.randrange(9)) if rng.random() > 0.1 else None,
              rng.choice(["x", "x", "x", "y", None])) for i in range(333)]
     df = spark.createDataFrame(rows, "row_idx long, date date, location string").repartition(4)
-    got = {r.row_idx: r.customer_id for r in keys.customer_id_from_location(keys.by_date(df, ["row_idx"])).collect()}
+    got = {r.row_idx: r.customer_id for r in keys.customer_id_from_location(keys.by_date(df, ["row_idx"]), chunk).collect()}
     ordered = sorted(rows, key=lambda r: (r[1] is None, r[1] or START, r[0]))
     names = [f"{r[2] if r[2] is not None else 'nan'}_{pos // 10}" for pos, r in enumerate(ordered)]
     want = {r[0]: code + 1 for r, code in zip(ordered, pd.factorize(pd.Series(names))[0])}
@@ -185,12 +183,9 @@ def test_customer_ids_without_location(spark):
 # -- quantiles --------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("read_out", [100_000, 50, 3])
 @pytest.mark.parametrize("kind", ["spread", "ties", "hot"])
-def test_quantiles_are_exact(spark, monkeypatch, read_out, kind):
-    monkeypatch.setattr(quantiles, "READ_OUT", read_out)
-    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 100)
-    rng = random.Random(read_out)
+def test_quantiles_are_exact(spark, kind):
+    rng = random.Random(17)
     values = {"spread": [rng.gauss(0, 100) for _ in range(3001)],
               "ties": [float(rng.randrange(12)) for _ in range(2000)],
               "hot": [5.0 if rng.random() < 0.4 else rng.uniform(0, 10) for _ in range(2500)]}[kind]
@@ -201,6 +196,18 @@ def test_quantiles_are_exact(spark, monkeypatch, read_out, kind):
         assert got[("v", p)] == pytest.approx(float(np.quantile(values, p)), abs=1e-12)
 
 
+def test_quantiles_of_several_columns_with_missing_values(spark):
+    df = spark.createDataFrame([(1.0, None), (float("nan"), None), (4.0, None), (None, None)], "a double, b double")
+    got = quantiles.exact_quantiles(df, {"a": [0.0, 0.5, 1.0], "b": [0.5]})
+    assert got == {("a", 0.0): 1.0, ("a", 0.5): 2.5, ("a", 1.0): 4.0, ("b", 0.5): None}
+
+
+def test_numbers_in_file_names_order_by_value(spark):
+    names = ["d/part-99999.csv", "d/part-100000.csv", "d/part-2.csv", "c/part-7.csv"]
+    df = spark.createDataFrame([(n,) for n in names], "f string")
+    assert [r.f for r in df.orderBy(index.by_number("f")).collect()] == [names[3], names[2], names[0], names[1]]
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([], "v double")
     assert quantiles.exact_quantiles(df, {"v": [0.5]}) == {("v", 0.5): None}

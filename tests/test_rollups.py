@@ -131,7 +131,7 @@ def test_products_need_ten_days_and_variation(spark):
     assert correlation.correlation_by_product(sales.drop("product_name"), daily) is None
 
 
-def test_segment_weights_do_not_move_r_and_noise_does(spark):
+def test_segment_weights_do_not_move_r(spark):
     rng = random.Random(8)
     daily = spark.createDataFrame([(day(i), rng.random()) for i in range(30)], "date date, avg_engagement double")
     sales = spark.createDataFrame([(day(i % 30), i % 7, f"t{i}", rng.uniform(1, 9)) for i in range(600)],
@@ -139,8 +139,6 @@ def test_segment_weights_do_not_move_r_and_noise_does(spark):
     segments = spark.createDataFrame([(c, "VIP" if c < 3 else "Dormido") for c in range(6)], "customer_id int, segment_name string")
     plain = {r.segment: r for r in correlation.correlation_by_segment(sales, daily, segments).collect()}
     assert set(plain) == {"VIP", "Dormido"} and plain["VIP"].engagement_weight == 1.3  # customer 6 has no segment
-    noisy = {r.segment: r for r in correlation.correlation_by_segment(sales, daily, segments, "42").collect()}
-    assert noisy["VIP"].correlation != plain["VIP"].correlation
 
 
 def test_trend(spark):
