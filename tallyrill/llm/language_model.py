@@ -24,12 +24,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyrill.llm.common import hashed_words, text_batches, write_once
 
 ORDER = 4
 BLOCK_BYTES = 32 << 20
+SLICE_BYTES = 1 << 19
 _PAD, _STOP = 0xFF, 0xFE  # neither occurs in UTF-8
 _SYMBOLS = 255  # all bytes but the filling one
 _LOWER = bytes(i + 32 if 0x41 <= i <= 0x5A else i for i in range(256))
@@ -48,18 +51,36 @@ def runs(texts: list, order: int) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.cumsum([0, *(len(p) + 1 for p in plain)])
 
 
-def _slices(texts: list, size: int = 1 << 21):
-    """Texts a few megabytes at a time."""
+def _slices(sizes: list):
+    """Runs of texts of about ``SLICE_BYTES`` together, from the sizes of the texts."""
     i = 0
-    while i < len(texts):
+    while i < len(sizes):
         j, n = i, 0
-        while j < len(texts) and (j == i or n < size):
-            n += len(texts[j] or "")
+        while j < len(sizes) and (j == i or n < SLICE_BYTES):
+            n += sizes[j]
             j += 1
         yield i, j
         i = j
 
 
+def _counted(keys: np.ndarray, offsets: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, and how often the training texts among those that ``offsets`` bound hold them."""
+    own, where = np.unique(keys.view(np.int64), return_inverse=True)
+    return own, np.bincount(where, np.repeat(train, np.diff(offsets)), len(own)).astype(np.int64)
+
+
+def _summed(found: list) -> tuple[np.ndarray, np.ndarray]:
+    own, where = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    return own, np.bincount(where, np.concatenate([c for _, c in found]), len(own)).astype(np.int64)
+
+
+def _add(found: list, part: tuple) -> None:
+    """Put counts on a stack whose entries at least halve upwards, so a key is merged a few times only."""
+    found.append(part)
+    while len(found) > 1 and len(found[-2][0]) < 2 * len(found[-1][0]):
+        found[-2:] = [_summed(found[-2:])]
+
+
 def _tail(key: str, order: int) -> Column:
     """The last ``order + 1`` bytes of a run: a shorter context and the symbol."""
     return F.col(key).bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1))
@@ -139,36 +160,38 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))
     rows = rows.select("doc_id", "text", "held_out", F.xxhash64("file", part).alias("block"))
 
-    def counted(texts: list, train: np.ndarray, kind: int, first: int, last: int):
-        keys, offsets = hashed_words(texts[first:last]) if kind == _WORD else runs(texts[first:last], order)
-        own, where = np.unique(keys.view(np.int64), return_inverse=True)
-        return own, np.bincount(where, np.repeat(train[first:last], np.diff(offsets)), len(own)).astype(np.int64)
-
-    def summed(found: list) -> tuple[np.ndarray, np.ndarray]:
-        own, where = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-        return own, np.bincount(where, np.concatenate([c for _, c in found]), len(own)).astype(np.int64)
+    def keys_of(kind: int, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        return hashed_words(texts) if kind == _WORD else runs(texts, order)
 
     def gather(batches):
         """Distinct keys of the blocks a task meets, sent on whenever a block's worth of text was read."""
+        waiting: dict = {}  # texts of a block that do not fill a slice yet
         held: dict = {}
         read = 0
 
+        def count(block):
+            texts, train, _ = waiting.pop(block)
+            train = np.concatenate(train)
+            for i, j in _slices(list(map(len, texts))):
+                for kind in (_WORD, _RUN):
+                    _add(held.setdefault((block, kind), []), _counted(*keys_of(kind, texts[i:j]), train[i:j]))
+
         def send():
-            for (block, kind), found in held.items():
-                own, n = summed(found)
+            for block in list(waiting):
+                count(block)
+            for block, kind in list(held):
+                own, n = _summed(held.pop((block, kind)))
                 yield pd.DataFrame({"block": np.int64(block), "kind": np.int32(kind), "key": own, "n": n})
-            held.clear()
 
         for batch in batches:
             for block, part in batch.groupby("block", sort=False):
-                texts, train = part["text"].tolist(), ~part["held_out"].to_numpy(bool)
-                read += sum(map(len, texts))
-                for i, j in _slices(texts):
-                    for kind in (_WORD, _RUN):
-                        found = held.setdefault((block, kind), [])
-                        found.append(counted(texts, train, kind, i, j))
-                        if len(found) == 8:
-                            found[:] = [summed(found)]
+                texts = part["text"].tolist()
+                size = sum(map(len, texts))
+                before, train, n = waiting.get(block, ([], [], 0))
+                waiting[block] = before + texts, [*train, ~part["held_out"].to_numpy(bool)], n + size
+                read += size
+                if n + size >= SLICE_BYTES:
+                    count(block)
             if read > 2 * block_bytes:
                 yield from send()
                 read = 0
@@ -190,38 +213,49 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
             .unionAll(held.where(F.col("kind") == _RUN).join(chances, "key").select("block", "kind", "key", F.col("lp").alias("x"))))
     floor = n_train + 0.5 * (distinct + 1)
 
-    def judge(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        texts, train = part["text"].tolist(), ~part["held_out"].to_numpy(bool)
+    def judge(part: pa.Table, known: pa.Table) -> pa.Table:
+        """Scores of a block's texts; only a slice of them is taken out of Arrow at a time."""
+        texts, train = part["text"], ~part["held_out"].to_numpy()
+        sizes = pc.binary_length(texts).to_pylist()
+        kinds, keys, values = (known[c].to_numpy() for c in ("kind", "key", "x"))
         tables = {}
         for kind in (_WORD, _RUN):
-            own = known[known["kind"] == kind].drop_duplicates("key")
-            tables[kind] = pd.Index(own["key"].to_numpy(np.int64)), own["x"].to_numpy()
-        mine, n = summed([counted(texts, train, _WORD, i, j) for i, j in _slices(texts)])
+            own, at = np.unique(keys[kinds == kind], return_index=True)
+            tables[kind] = pd.Index(own), values[kinds == kind][at]
+        del kinds, keys, values
+
+        def sliced():
+            for i, j in _slices(sizes):
+                yield i, j, texts.slice(i, j - i).to_pylist()
+
+        found: list = []
+        for i, j, some in sliced():
+            _add(found, _counted(*keys_of(_WORD, some), train[i:j]))
+        mine, n = _summed(found)
         at = tables[_WORD][0].get_indexer(mine)
         tables[_WORD] = pd.Index(mine), np.where(at >= 0, np.append(tables[_WORD][1], 0.0)[at], n)
 
-        def sums(kind, keys, offsets, of):
+        def found_in(kind, some):
+            keys, offsets = keys_of(kind, some)
             index, x = tables[kind]
-            v = x[index.get_indexer(keys.view(np.int64))] if len(keys) else np.zeros(0)
-            total = np.concatenate([[0.0], np.cumsum(of(v))])
+            return (x[index.get_indexer(keys.view(np.int64))] if len(keys) else np.zeros(0)), offsets
+
+        def sums(v, offsets):
+            total = np.concatenate([[0.0], np.cumsum(v)])
             return total[offsets[1:]] - total[offsets[:-1]]
 
         out = []
-        for i, j in _slices(texts):
-            keys, offsets = hashed_words(texts[i:j])
-            base = sums(_WORD, keys, offsets, lambda c: np.log10((c + 0.5) / floor)) + np.log10((train_docs + 0.5) / floor)
-            n_known = sums(_WORD, keys, offsets, lambda c: (c > 0).astype(float)) + (train_docs > 0)
-            n_tokens = np.diff(offsets) + 1
-            keys, offsets = runs(texts[i:j], order)
-            out.append(pd.DataFrame({"n_tokens": n_tokens, "n_known": np.rint(n_known).astype(np.int64),
-                                     "base_score": base, "score": sums(_RUN, keys, offsets, lambda v: v)}))
-        out = pd.concat(out, ignore_index=True)
-        out.insert(0, "doc_id", part["doc_id"].astype("Int64").to_numpy())
-        out.insert(1, "held_out", part["held_out"].to_numpy())
-        out["train_tokens"] = n_train
-        return out
+        for _, _, some in sliced():
+            c, offsets = found_in(_WORD, some)
+            base = sums(np.log10((c + 0.5) / floor), offsets) + np.log10((train_docs + 0.5) / floor)
+            n_known = sums((c > 0).astype(float), offsets) + (train_docs > 0)
+            out.append((np.diff(offsets) + 1, np.rint(n_known).astype(np.int64), base, sums(*found_in(_RUN, some))))
+        n_tokens, n_known, base, total = map(np.concatenate, zip(*out))
+        return pa.table({"doc_id": part["doc_id"], "held_out": part["held_out"], "n_tokens": n_tokens,
+                         "n_known": n_known, "base_score": base, "score": total,
+                         "train_tokens": np.full(len(total), n_train, np.int64)})
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
               "train_tokens long")
-    judged = rows.groupBy("block").cogroup(sent.groupBy("block")).applyInPandas(judge, schema)
+    judged = rows.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(judge, schema)
     return judged.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
