@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tallyrill.functions.scalar import segment_weight
 from tallyrill.functions.stats import pearson, pearson_p, significant
 from tallyrill.operators import association, cleaning, correlation, quality, reporting, rollups, segmentation
 from tallyrill.plans import star
-from tallyrill.plans.registry import VIEWS, add, day, pearson_p_sql, rnd, rnd_value, sql, tidy
+from tallyrill.plans.registry import ORACLE, VIEWS, add, day, pearson_p_sql, rnd, rnd_value, sql, tidy
 from tallyrill.plans.rollup_queries import _holes, _HOLES, _merged
 from tallyrill.scratch import write_once
 
@@ -195,6 +197,21 @@ add("c5_best_period",
         QUALIFY row_number() OVER (PARTITION BY window_days ORDER BY r DESC, date) = 1 AND r > 0.2""",
         "long_daily", ro=_rolling_sql("long_daily")))
 
+
+
+def _constant_side(s, d):
+    """The first series has the same engagement every day, so it has no correlation and is left out."""
+    daily = star.keyed_daily(s, d)
+    flat = F.col("series") == F.lit(daily.agg(F.min("series")).first()[0])
+    flattened = daily.withColumn("avg_engagement", F.when(flat, F.lit(1.0)).otherwise(F.col("avg_engagement")))
+    return tidy(association.association(flattened, "total_sales", "avg_engagement", ["series"])
+                .select("series", "n", F.col("pearson_r").alias("r")))
+
+
+add("t4_constant_side", _constant_side,
+    sql(f"""SELECT * FROM (SELECT series, count(*) AS n, {rnd(_R_SALES, 6, 'r')} FROM keyed_daily
+        WHERE series <> (SELECT min(series) FROM keyed_daily) GROUP BY series) WHERE r IS NOT NULL""", "keyed_daily"))
+
 # -- per product and per segment --------------------------------------------------------------
 
 _BY_PRODUCT = f"""SELECT product, {_R.format(x='product_sales', y='e')} AS r, count(*) AS n, sum(product_sales) AS total
@@ -345,6 +362,24 @@ def _report(s, d):
         "by_product": _by_product(s, d, daily), "by_segment": _by_segment(s, d, daily)}))
 
 
+
+def _analyses(s, d):
+    """(analysis, item, value) of all five analyses together."""
+    daily = write_once(star.long_daily(s, d), "daily")
+    found = correlation.analyze(daily, _segments(s, d), star.sales(s, d))
+    item = {"general": ("method", "r"), "lag": ("lag_days", "correlation"), "rolling": ("window_days", "avg_correlation"),
+            "by_segment": ("segment", "correlation"), "by_product": ("product", "correlation")}
+    return tidy(reduce(DataFrame.unionByName, [
+        found[a].select(F.lit(a).alias("analysis"), F.col(i).cast("string").alias("item"), F.col(v).alias("value"))
+        for a, (i, v) in item.items()]))
+
+
+add("c8_full_analysis", _analyses, " UNION ALL ".join(
+    f"SELECT '{a}' AS analysis, CAST({i} AS VARCHAR) AS item, {v} AS value FROM ({ORACLE[q]})" for a, q, i, v in (
+        ("general", "c1_general", "method", "r"), ("lag", "c2_lag_long", "lag_days", "correlation"),
+        ("rolling", "c4_rolling", "window_days", "avg_correlation"), ("by_segment", "c7_by_segment", "segment", "correlation"),
+        ("by_product", "c6_by_product", "product", "correlation"))))
+
 add("c9_report", _report,
     sql(f"""SELECT * FROM (
         SELECT 'rolling_avg' AS section, CAST(window_days AS VARCHAR) AS item, {rnd('avg(r)', 6, 'value')}
@@ -383,6 +418,32 @@ add("d1_zscores", _zscores,
         for c in ("recency", "frequency", "monetary")) + " FROM rfm", "rfm"))
 add("d2_kmeans", _kmeans)
 
+
+def _cluster_checks(s, d):
+    """What holds for any good clustering, whichever way its clusters are numbered.
+
+    A fit stops when centres move less than a small distance, so a customer counts as misplaced if the
+    mean of another cluster is nearer by ten times that distance.
+    """
+    found = segmentation.cluster(_rfm(s, d))
+    scaled = segmentation.standardized(found.assigned)
+    z = [f"z_{c}" for c in segmentation.FEATURES]
+    means = scaled.groupBy("segment").agg(*[F.avg(c).alias(c) for c in z]).collect()  # one row per cluster
+    away = {m["segment"]: sum(((F.col(c) - F.lit(m[c])) ** 2 for c in z), F.lit(0.0)) for m in means}
+    own = F.coalesce(*[F.when(F.col("segment") == k, v) for k, v in away.items()])
+    slack = F.sqrt(own) - F.sqrt(F.array_min(F.array(*away.values()))) > 10 * segmentation.CENTER_SHIFT
+    around = F.sum(own)
+    return scaled.agg(
+        F.count(F.lit(1)).alias("customers"), F.lit(len(means)).cast("bigint").alias("clusters"),
+        F.lit(len(found.costs)).cast("bigint").alias("starts"), F.count(F.when(slack, 1)).alias("misplaced"),
+        around.between(0.98 * found.cost, found.cost * (1 + 1e-9)).alias("cost_agrees"),
+        F.lit(all(found.cost <= c for c in found.costs.values())).alias("best_start"))
+
+
+add("d2_d5_cluster_checks", _cluster_checks,
+    sql("""SELECT count(*) AS customers, CAST(least(4, count(DISTINCT (recency, frequency, monetary))) AS BIGINT) AS clusters,
+        CAST(10 AS BIGINT) AS starts, CAST(0 AS BIGINT) AS misplaced, true AS cost_agrees, true AS best_start FROM rfm""", "rfm"))
+
 # First two eigenvectors of the 3x3 correlation matrix by power iteration with deflation.
 _STEP = """SELECT k + 1 AS k, p / sqrt(p * p + q * q + w * w) AS a, q / sqrt(p * p + q * q + w * w) AS b,
     w / sqrt(p * p + q * q + w * w) AS c FROM (SELECT k, {m}11 * a + {m}12 * b + {m}13 * c AS p,
@@ -408,6 +469,20 @@ add("d6_segmentation",
     lambda s, d: tidy(segmentation.segment_customers(
         star.sales(s, d, ["date", "customer_id", "product_id", "quantity", "amount", "transaction_id"]))["report"].drop("actions"), 2))
 
+
+def _segment_totals(s, d):
+    """Figures of the segmentation that do not depend on how customers fall into segments."""
+    report = segmentation.segment_customers(
+        star.sales(s, d, ["date", "customer_id", "product_id", "quantity", "amount", "transaction_id"]))["report"]
+    return tidy(report.agg(
+        F.sum("customers").alias("customers"), F.sum("total_value").alias("total_value"),
+        F.sum("share_pct").alias("share_pct"), F.count(F.when(F.col("actions").isNull(), 1)).alias("without_actions")), 2)
+
+
+add("d6_segment_totals", _segment_totals,
+    sql(f"""SELECT count(*) AS customers, {rnd('sum(monetary)', 2, 'total_value')}, CAST({rnd_value('100', 2)} AS DOUBLE) AS share_pct,
+        CAST(0 AS BIGINT) AS without_actions FROM rfm""", "rfm"))
+
 # -- quality suites ---------------------------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyrill.functions.scalar import calendar_columns, category_of, round_even, to_day
+from tallyrill.functions.scalar import age_text, calendar_columns, category_of, round_even, to_day
 from tallyrill.operators import cleaning, correlation, demand, index, keys, reporting, rollups
 from tallyrill.plans import star
 from tallyrill.plans.registry import add, day, rnd, rnd_value, sql, tidy
@@ -373,6 +373,12 @@ add("f12_round_even",
     """SELECT event_id, CAST(round_even(value / 8, 2) AS DOUBLE) AS r2, CAST(round_even(value / 8, 3) AS DOUBLE) AS r3,
        CAST(round_even(value / 8, 4) AS DOUBLE) AS r4 FROM events""")
 
+add("f20_age",
+    lambda s, d: star.table(s, d, "lineitem").select(age_text(F.col("l_quantity").cast("bigint") * 600 + F.col("l_linenumber")).alias("age"))
+    .groupBy("age").agg(F.count(F.lit(1)).alias("n")),
+    """SELECT CASE WHEN x < 3600 THEN CAST(x // 60 AS VARCHAR) || 'm' ELSE CAST(x // 3600 AS VARCHAR) || 'h' END AS age,
+       count(*) AS n FROM (SELECT CAST(l_quantity AS BIGINT) * 600 + l_linenumber AS x FROM lineitem) GROUP BY 1""")
+
 # -- demand index -----------------------------------------------------------------------------
 
 _QTY = ["date", "quantity", "amount"]
