@@ -175,11 +175,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
                 for j, leaves in enumerate(part["leaves"]):
                     wanted[j, leaves] = True
                 near[~wanted[:, leaf_no]] = -np.inf
-                best = np.argsort(-near, axis=1, kind="stable")[:, :k + 1]
-                value = np.take_along_axis(near, best, axis=1)
-                good = np.isfinite(value)
-                out.append(pd.DataFrame({"query_id": np.repeat(part["id"].to_numpy(), good.sum(axis=1)),
-                                         "rep": ids[best[good]], "score": value[good]}))
+                # All that reach the last wanted score, then by score and id, the wanted number of each query.
+                last = max(0, near.shape[1] - k - 1)
+                least = np.partition(near, last, axis=1)[:, last, None]
+                query, at = np.nonzero((near >= least) & np.isfinite(near))
+                value = near[query, at]
+                best = np.lexsort((at, -value, query))
+                query, at, value = query[best], at[best], value[best]
+                good = np.arange(len(query)) - np.searchsorted(query, query) <= k
+                out.append(pd.DataFrame({"query_id": part["id"].to_numpy()[query[good]], "rep": ids[at[good]],
+                                         "score": value[good]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "rep": [], "score": []})
 
     found = dealt.groupBy(*place).cogroup(queries.groupBy(*place)).applyInPandas(rerank, "query_id long, rep long, score double")
