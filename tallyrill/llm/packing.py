@@ -13,13 +13,16 @@ Numbering is done per length and hash bucket of at most about ``BUCKET`` rows, s
 half of the pieces share is spread over many tasks.
 
 Defined cases: a null text is empty and gives one piece holding the end id alone. Null and repeated
-ids are packed like any other; every row is packed. An empty table gives an empty result. Other
+ids are packed like any other; every row is packed. An added token of the vocabulary that stands in a
+text, such as ``<|endoftext|>``, is its one id. An empty table gives an empty result. Other
 columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -37,19 +40,37 @@ BUCKET = 50_000
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
-def encoder(vocabulary: bytes, kind: str):
-    """A function from texts to lists of ids, from the content of a ``json`` or ``tiktoken`` file."""
+def added_tokens(tokenizer: str) -> dict[str, int]:
+    """Tokens outside the merges, from the JSON file of the same vocabulary; a ``tiktoken`` file has only merges.
+
+    A vocabulary without a JSON file has none.
+    """
+    beside = tokenizer.removesuffix(".tiktoken") + ".json"
+    if not os.path.exists(beside):
+        return {}
+    with open(beside, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens") or []
+    bent = [t["content"] for t in added if any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))]
+    if bent:
+        raise ValueError(f"added tokens {bent} take their surroundings into account; use the JSON file")
+    return {t["content"]: t["id"] for t in added}
+
+
+def encoder(vocabulary: bytes, kind: str, added: dict[str, int]):
+    """A function from texts to lists of ids, from the content of a ``json`` or ``tiktoken`` file.
+
+    An added token that a text holds is one id, as the JSON tokenizer has it; ``added`` names them for a ``tiktoken`` file.
+    """
     if kind == "json":
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_str(vocabulary.decode("utf-8"))
-        tok.encode_special_tokens = True
         return lambda texts: [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
     import tiktoken
 
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
-    enc = tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda texts: [enc.encode_ordinary(t) for t in texts]
+    enc = tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return lambda texts: [enc.encode(t, allowed_special="all") for t in texts]
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -65,9 +86,10 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     with open(tokenizer, "rb") as f:  # a small file of the tokenizer's package; its content goes with the task
         vocabulary = f.read()
     kind = "json" if tokenizer.endswith(".json") else "tiktoken"
+    added = {} if kind == "json" else added_tokens(tokenizer)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary, kind)
+        encode = encoder(vocabulary, kind, added)
         names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else [])]
         for part in parts:
             out = []

@@ -336,6 +336,19 @@ def test_packing_is_whole_and_tight(spark):
     assert len(bins) <= -(-sum(r.length for r in rows) // 2048) + 1
 
 
+def test_added_tokens_in_texts_are_one_id(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(0, "a <|endoftext|> b"), (1, "<|endoftext|>"), (2, "x<|endoftext|><|endoftext|>  y\n<|endoftext| >"), (3, "plain")]
+    want = {d: [*tok.encode(t, add_special_tokens=False).ids, 0] for d, t in rows}
+    assert len(want[0]) == 5
+    for kind in ("tiktoken", "json"):
+        path = public_tokenizers.path(f"byte_bpe_50k.{kind}")
+        got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), path, keep_ids=True).collect()
+        assert {r.doc_id: r.ids for r in got} == want
+
+
 def test_packing_odd_rows(odd, nothing):
     rows = packing.pack(odd, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=True).collect()
     assert sum(r.piece == 0 for r in rows) == odd.count()
