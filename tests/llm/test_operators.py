@@ -405,6 +405,35 @@ def test_line_runs_are_those_of_brute_force(spark):
         assert r.text == "\n".join(x for i, x in enumerate(text.split("\n")) if i not in want.get(r.doc_id, set()))
 
 
+def brute_whole_runs(rows, min_chars=20):
+    """Every line of every run of ``min_chars`` that has an earlier copy."""
+    runs, gone = collections.defaultdict(list), collections.defaultdict(set)
+    for d, t in rows:
+        lines = [(i, x.strip(" \t\r")) for i, x in enumerate(t.split("\n")) if x.strip(" \t\r")]
+        for p in range(len(lines)):
+            for q in range(p + 1, len(lines) + 1):
+                if sum(len(x) for _, x in lines[p:q]) >= min_chars:
+                    runs[tuple(x for _, x in lines[p:q])].append((d, lines[p][0], [i for i, _ in lines[p:q]]))
+    for spots in runs.values():
+        for d, _, own in sorted(spots)[1:]:
+            gone[d].update(own)
+    return gone
+
+
+def test_maximal_line_runs_go_as_a_whole(spark):
+    rng = random.Random(8)
+    pool = ["a", "bb", "ccc", "dddd", "e" * 9, "f" * 30, "", "  ", "g" * 12]
+    rows = [(d, "\n".join(rng.choice(pool) if rng.random() < 0.8 else f"own {d} {i}" for i in range(rng.randrange(1, 40))))
+            for d in range(40)]
+    rows += [(100, "h" * 30 + "\nshort\nx"), (101, "y\n" + "h" * 30 + "\nshort\nz"), (102, "j" * 30 + "\na" * 18),
+             (103, "j" * 30 + "\na" * 18 + "\nown line")]
+    want = brute_whole_runs(rows)
+    got = {r.doc_id: set(r.removed)
+           for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), whole_runs=True).collect()}
+    assert got == {d: want.get(d, set()) for d, _ in rows}
+    assert got[101] == {1, 2} and got[103] == set(range(19))
+
+
 def test_lines_odd_rows(odd, nothing):
     got = line_dedup.dedup_lines(odd).collect()
     assert len(got) == odd.count()

@@ -34,6 +34,14 @@ def test_stages_on_odd_rows_and_nothing(spark, odd, nothing):
             docs = write_once(stage(spark, docs, SF), "stage")
 
 
+def test_line_stage_removes_whole_runs(spark):
+    rows = [(1, "a long line that others repeat\nshort\nfirst"), (2, "second\na long line that others repeat\nshort\nend")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.without_repeated_lines(spark, docs, SF).collect()}
+    assert got == {1: (rows[0][1], len(rows[0][1])), 2: ("second\nend", 10)}
+
+
 def test_line_query_matches_sql(spark):
     con = database(SF)
     for name, sql in queries.ORACLE.items():
