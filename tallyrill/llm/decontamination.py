@@ -9,8 +9,10 @@ passage reaches ``MIN_COSINE`` is a candidate. A candidate is confirmed on the w
 longest common subsequence with the item must hold ``COPY_SHARE`` of the item's words, or
 ``PARAPHRASE_SHARE`` of them where the item's answer is there as well.
 
-An item's answer is the column ``answer`` if the table has one, else the item's last
-``ANSWER_WORDS`` words. All passages of all documents are searched; there is no limit on candidates.
+An item's answer is the column ``answer`` if the table has one. An item without an answer is confirmed
+by its rare words, wherever they stand: the heaviest common subsequence must hold ``RARE_SHARE`` of the
+item's inverse document frequencies, so words that stand everywhere confirm nothing and no single
+word has to be kept. All passages of all documents are searched; there is no limit on candidates.
 
 The driver holds the items (a query set that every task needs whole, refused beyond ``MAX_ITEM_WORDS``
 words in total), their term weights, and matrices of terms by latent dimensions.
@@ -39,7 +41,7 @@ POWER_ROUNDS = 2
 MIN_COSINE = 0.6
 COPY_SHARE = 0.8
 PARAPHRASE_SHARE = 0.5
-ANSWER_WORDS = 5
+RARE_SHARE = 1 / 3
 MAX_ITEM_WORDS = 20_000_000
 _ROWS = 1 << 13
 _SLICES = 16
@@ -111,6 +113,15 @@ def common_subsequence(item: np.ndarray, region: np.ndarray) -> int:
     return len(item) - row.bit_count()
 
 
+def common_weight(item: np.ndarray, weight: np.ndarray, region: np.ndarray) -> float:
+    """Weight of the heaviest common subsequence, where every word of the item has its own weight."""
+    best = np.zeros(len(item) + 1)
+    for w in region[np.isin(region, item)]:
+        best[1:] = np.maximum(best[1:], np.where(item == w, best[:-1] + weight, 0.0))
+        best = np.maximum.accumulate(best)
+    return float(best[-1])
+
+
 def contains(region: np.ndarray, answer: np.ndarray) -> bool:
     """Whether the answer's words stand together in the region."""
     n = len(answer)
@@ -168,8 +179,12 @@ def latent_space(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                item_id: str = "item_id", rank: int = RANK, min_cosine: float = MIN_COSINE,
-               copy_share: float = COPY_SHARE, paraphrase_share: float = PARAPHRASE_SHARE) -> DataFrame:
-    """One row per document and item found in it: ``doc_id``, ``item_id``, ``cosine``, ``lcs_share``, ``answer``."""
+               copy_share: float = COPY_SHARE, paraphrase_share: float = PARAPHRASE_SHARE,
+               rare_share: float = RARE_SHARE) -> DataFrame:
+    """One row per document and item found in it: ``doc_id``, ``item_id``, ``cosine``, ``lcs_share``, ``answer``.
+
+    ``answer`` says whether the item's answer is there or, without one, whether enough of its rare words are.
+    """
     spark = docs.sparkSession
     text_batches(spark)
     schema = "doc_id long, item_id long, cosine double, lcs_share double, answer boolean"
@@ -188,8 +203,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     none = len(terms)
     own = [hashes[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
     said, ends = hashed_words([r["answer"] for r in table])
-    answers = [said[ends[i]:ends[i + 1]] if has_answer and r["answer"] else own[i][-ANSWER_WORDS:]
-               for i, r in enumerate(table)]
+    answers = [said[a:b] for a, b in zip(ends[:-1], ends[1:])]
     rows, owner, _ = passages(term_numbers(hashes, terms), offsets, none)
 
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
@@ -219,6 +233,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     wide = np.vstack([space, np.zeros((1, space.shape[1]), np.float32)])
     queries = project(*weights(rows, idf), wide)
     item_ids = np.array([r["item"] for r in table], np.int64)
+    own_idf = [idf[term_numbers(w, terms)] for w in own]
+
+    def confirmed(k: int, region: np.ndarray) -> bool:
+        if len(answers[k]):
+            return contains(region, answers[k])
+        return common_weight(own[k], own_idf[k], region) >= rare_share * own_idf[k].sum() > 0
 
     def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -233,19 +253,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
             out = []
             for (d, k), spots in hits.items():
                 item, text_words = own[k], h[o[d]:o[d + 1]]
-                best = (0.0, 0.0, False)
+                best = (False, 0.0, 0.0, False)
                 done = -1
                 for s, c in sorted(spots):
                     # The item may begin before the passage or end after it.
                     a, b = max(0, s - len(item)), s + WIDTH + len(item)
                     region = text_words[a:b]
                     enough = np.isin(region, item).sum() >= paraphrase_share * len(item)
-                    if enough and (s != done or c > best[1]):
+                    if enough and (s != done or c > best[2]):
                         share = common_subsequence(item, region) / len(item)
-                        best = max(best, (share, c, contains(region, answers[k])))
+                        answered = share >= paraphrase_share and confirmed(k, region)
+                        # A confirmed passage counts before one that shares more words and is not.
+                        best = max(best, (share >= copy_share or answered, share, c, answered))
                     done = s
-                share, c, answered = best
-                if share >= copy_share or share >= paraphrase_share and answered:
+                leak, share, c, answered = best
+                if leak:
                     key = part["doc_id"].iloc[d]
                     out.append((None if pd.isna(key) else int(key), int(item_ids[k]), c, share, answered))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "lcs_share", "answer"]).astype(

@@ -80,6 +80,47 @@ def test_leaks_and_paraphrases(spark):
     assert got == {(d, k) for k in range(20) for d in (k, 100 + k)}
 
 
+def test_paraphrases_with_other_endings(spark):
+    rng = random.Random(9)
+    common = [f"the{i}" for i in range(12)]
+    vocabulary = [f"term{i}" for i in range(2000)]
+
+    def filler(n):
+        return [rng.choice(common) if rng.random() < 0.5 else f"other{rng.randrange(6000)}" for _ in range(n)]
+
+    # Every other word of an item stands everywhere.
+    items = [[rng.choice(vocabulary) if i % 2 else rng.choice(common) for i in range(40)] for _ in range(30)]
+    docs, want = [], set()
+    for k, item in enumerate(items):
+        kept = set(rng.sample(range(37), [22, 25, 28][k % 3]))  # 55, 62 and 70 %, never one of the last three words
+        said = [w if i in kept else f"said{rng.randrange(6000)}" for i, w in enumerate(item)]
+        docs += [(k, " ".join([*filler(100), *said, *filler(100)])), (100 + k, " ".join(filler(240)))]
+        # Common words in their order and a few of the rare ones are no paraphrase.
+        few = [w if not i % 2 or i in (5, 15) else f"said{rng.randrange(6000)}" for i, w in enumerate(item)]
+        docs.append((200 + k, " ".join([*filler(100), *few, *filler(100)])))
+        want.add((k, k))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id long, text string")
+    found = decontamination.find_leaks(frame, bench, min_cosine=0.3).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    assert all(r.answer and 0.5 <= r.lcs_share < 0.8 for r in found)
+    # With a column ``answer`` that answer decides.
+    answered = bench.withColumn("answer", F.when(F.col("item_id") % 2 == 0, "not there").otherwise("other"))
+    assert decontamination.find_leaks(frame, answered.where("item_id % 2 = 0"), min_cosine=0.3).count() == 0
+
+
+def test_heaviest_common_subsequence():
+    rng = random.Random(2)
+    for _ in range(50):
+        a, b = ([rng.randrange(5) for _ in range(rng.randrange(1, 20))] for _ in range(2))
+        w = [rng.random() for _ in a]
+        best = [[0.0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = max(best[i][j] + w[i] if x == y else 0, best[i][j + 1], best[i + 1][j])
+        assert decontamination.common_weight(np.array(a), np.array(w), np.array(b)) == pytest.approx(best[-1][-1])
+
+
 def test_longest_common_subsequence():
     rng = random.Random(1)
     for _ in range(50):
