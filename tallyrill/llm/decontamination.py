@@ -18,7 +18,8 @@ The driver holds the items (a query set that every task needs whole, refused bey
 words in total), their term weights, and matrices of terms by latent dimensions.
 
 Defined cases: null and empty texts have no passages and are clean. Items without words match
-nothing. Null ids are reported as they are, repeated rows each. An item that occurs several times in
+nothing. Null ids are reported as they are, repeated rows each; items are told apart by row, so one
+without an id is searched like any other. An item that occurs several times in
 a document is reported once, with its best match. Empty tables give empty results. Other columns are
 ignored.
 """
@@ -180,18 +181,20 @@ def latent_space(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                item_id: str = "item_id", rank: int = RANK, min_cosine: float = MIN_COSINE,
                copy_share: float = COPY_SHARE, paraphrase_share: float = PARAPHRASE_SHARE,
-               rare_share: float = RARE_SHARE) -> DataFrame:
+               rare_share: float = RARE_SHARE, row_key: str | None = None) -> DataFrame:
     """One row per document and item found in it: ``doc_id``, ``item_id``, ``cosine``, ``lcs_share``, ``answer``.
 
     ``answer`` says whether the item's answer is there or, without one, whether enough of its rare words are.
+    ``row_key`` names a long column of ``docs`` without nulls to report as well, by that name.
     """
     spark = docs.sparkSession
     text_batches(spark)
     schema = "doc_id long, item_id long, cosine double, lcs_share double, answer boolean"
+    schema += f", `{row_key}` long" if row_key else ""
     has_answer = "answer" in benchmark.columns
     wanted = [F.col(f"`{item_id}`").cast("long").alias("item"), F.col("text").cast("string").alias("text"),
               (F.col("answer").cast("string") if has_answer else F.lit(None).cast("string")).alias("answer")]
-    chosen = benchmark.select(*wanted).where("item is not null and text is not null")
+    chosen = benchmark.select(*wanted).where("text is not null")
     words = chosen.agg(F.sum(F.size(F.split(F.btrim("text"), r"\s+"))).alias("n")).first()["n"] or 0
     if words > MAX_ITEM_WORDS:
         raise ValueError(f"benchmark items hold {words} words; search them in parts of {MAX_ITEM_WORDS}")
@@ -206,8 +209,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     answers = [said[a:b] for a, b in zip(ends[:-1], ends[1:])]
     rows, owner, _ = passages(term_numbers(hashes, terms), offsets, none)
 
-    source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
-                         F.col(f"`{text}`").cast("string").alias("text"))
+    # Pandas would turn ids beside a null into floating point, so absence travels on its own.
+    key = F.col(f"`{doc_id}`").cast("long")
+    source = docs.select(F.coalesce(key, F.lit(0)).alias("doc_id"), key.isNull().alias("absent"),
+                         F.col(f"`{text}`").cast("string").alias("text"),
+                         *([F.col(f"`{row_key}`").cast("long").alias(row_key)] if row_key else []))
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(none + 1, np.int64), 0
@@ -232,7 +238,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     space = latent_space(write_once(items, "item-passages"), idf, rank)
     wide = np.vstack([space, np.zeros((1, space.shape[1]), np.float32)])
     queries = project(*weights(rows, idf), wide)
-    item_ids = np.array([r["item"] for r in table], np.int64)
+    item_ids = [r["item"] for r in table]
     own_idf = [idf[term_numbers(w, terms)] for w in own]
 
     def confirmed(k: int, region: np.ndarray) -> bool:
@@ -268,9 +274,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
                     done = s
                 leak, share, c, answered = best
                 if leak:
-                    key = part["doc_id"].iloc[d]
-                    out.append((None if pd.isna(key) else int(key), int(item_ids[k]), c, share, answered))
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "lcs_share", "answer"]).astype(
-                {"doc_id": "Int64", "item_id": "int64", "cosine": "float64", "lcs_share": "float64", "answer": "bool"})
+                    out.append((d, item_ids[k], c, share, answered))
+            at, item, cosine, share, answered = zip(*out) if out else ([],) * 5
+            own_rows = part.iloc[list(at)]
+            found_rows = pd.DataFrame({
+                "doc_id": pd.array(own_rows["doc_id"].to_numpy(np.int64), "Int64"), "item_id": pd.array(item, "Int64"),
+                "cosine": np.array(cosine, float), "lcs_share": np.array(share, float), "answer": np.array(answered, bool)})
+            found_rows.loc[own_rows["absent"].to_numpy(bool), "doc_id"] = pd.NA
+            if row_key:
+                found_rows[row_key] = own_rows[row_key].to_numpy(np.int64)
+            yield found_rows
 
     return source.mapInPandas(search, schema)

@@ -59,8 +59,9 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return sum(1 << int(b) for b in set_bits)
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``fp``: one row per document, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                 row_key: str | None = None) -> DataFrame:
+    """``doc_id``, ``fp``, and the column ``row_key``: one row per document, the fingerprint as a signed long."""
     text_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
@@ -68,8 +69,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
         return pd.Series(np.array([fingerprint(t if isinstance(t, str) else None, shingle) for t in texts],
                                   np.uint64).astype(np.int64))
 
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("t"))
-    return rows.select("doc_id", of("t").alias("fp"))
+    own = [F.col(f"`{row_key}`")] if row_key else []
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("t"), *own)
+    return rows.select("doc_id", of("t").alias("fp"), *own)
 
 
 def masks(radius: int = RADIUS) -> list[int]:
@@ -160,16 +162,21 @@ def links(distinct: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> Data
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    radius: int = RADIUS) -> DataFrame:
-    """One row per document: ``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``."""
-    rows = write_once(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+                    radius: int = RADIUS, row_key: str | None = None) -> DataFrame:
+    """One row per document: ``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``.
+
+    With ``row_key``, a column of ``docs``, that column and ``root``: the same number for all rows of a
+    component, also where none of them has an id.
+    """
+    rows = write_once(fingerprints(docs, doc_id, text, shingle, row_key), "fingerprints")
     classes = write_once(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     reached = components(links(classes.select("fp"), radius))
     # The least fingerprint stands for a component; its least document is the component's id.
     grouped = classes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = write_once(grouped.join(ids, "root").select("fp", "component_id"), "classes")
+    named = write_once(grouped.join(ids, "root").select("fp", "component_id", "root"), "classes")
     return rows.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
+        *([F.col(f"`{row_key}`"), F.col("root")] if row_key else []))
 

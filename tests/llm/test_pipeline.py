@@ -42,6 +42,36 @@ def test_line_stage_removes_whole_runs(spark):
     assert got == {1: (rows[0][1], len(rows[0][1])), 2: ("second\nend", 10)}
 
 
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def rows_of(spark, rows):
+    return spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], DOCS)
+
+
+def test_rows_that_share_an_id_or_have_none_are_decided_alone(spark, tmp_path):
+    words = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    item, unnamed = words("item", 30), words("unnamed", 30)
+    spark.createDataFrame([(1, item), (None, unnamed)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    big = (1 << 60) + 1  # not a floating-point number
+    clean = [(5, words("clean", 80)), (None, words("fine", 80)), (big, words("large", 80))]
+    leaks = [(5, words("x", 40) + " " + item), (None, words("y", 40) + " " + item), (6, words("z", 40) + " " + unnamed),
+             (big, words("w", 40) + " " + item)]
+    docs = rows_of(spark, clean + leaks).coalesce(1)
+    got = corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted((d or 0, t) for d, t in clean)
+
+
+def test_near_copies_leave_their_namesakes(spark):
+    words = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    text, alone = words("copy", 60), words("alone", 60)
+    rows = [(1, text), (2, text), (2, words("other", 60)), (None, text), (None, alone), (None, alone), (3, words("once", 60)),
+            (3, words("once", 60))]
+    got = corpus_pipeline.without_near_copies(spark, rows_of(spark, rows), SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted(
+        [(1, text), (2, words("other", 60)), (0, alone), (3, words("once", 60))])
+
+
 def test_line_query_matches_sql(spark):
     con = database(SF)
     for name, sql in queries.ORACLE.items():
