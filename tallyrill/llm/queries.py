@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyrill.llm import (decontamination, language_id, language_model, line_dedup, neighbours, packing, quality,
-                           repeats, secrets, simhash)
+from tallyrill.llm import (decontamination, language_id, language_model, line_dedup, manifest, neighbours, packing,
+                           quality, repeats, secrets, simhash)
 from tallyrill.llm.common import crc_fold, table
+from tallyrill.llm.statements import OP11_SQL
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the ids of byte_bpe_50k.json, read faster
 
@@ -63,6 +65,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    touched = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return manifest.manifest(table(spark, sf_dir, "documents"), {"text": lowered}, touched)
+
+
 _OP10_SQL = f"""
 WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
 every AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS i FROM raw),
@@ -87,5 +95,5 @@ FROM marked GROUP BY doc_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (op1_neighbours, op2_decontamination, op3_repeats, op4_simhash, op5_ppm, op6_quality,
-                            op7_secrets, op8_packing, op9_language, op10_line_dedup)}
-ORACLE = {"op10_line_dedup": _OP10_SQL}
+                            op7_secrets, op8_packing, op9_language, op10_line_dedup, op11_manifest)}
+ORACLE = {"op10_line_dedup": _OP10_SQL, "op11_manifest": OP11_SQL}
