@@ -69,3 +69,34 @@ SELECT doc_id, a.g AS lang, changed IS NOT NULL AS tampered, a.digest AS leaf, t
 FROM leaves a JOIN tops t ON a.g IS NOT DISTINCT FROM t.lang CROSS JOIN whole
     JOIN ends ON ends.id = a.id LEFT JOIN proofs ON proofs.id = a.id
 """
+
+
+def _share(count: str, total: str, kept: str) -> str:
+    return f"CAST(1 + CAST(1000000000 AS HUGEINT) * ({count} + 5) // ({total} + 5 * {kept}) AS BIGINT)"
+
+
+OP12_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        {plain("coalesce(text, '')")} AS text FROM documents),
+w AS (SELECT i, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM c SEMI JOIN
+    (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT i) >= 30) USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, sum(n) AS total, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+grid AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS in_lang FROM g JOIN kept k ON k.lang = g.lang
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+t AS (SELECT lang, source, sum(n) AS total FROM grid GROUP BY ALL),
+p AS (SELECT grid.lang, grid.source, term, n, {_share('n', 't.total', 'v')} AS p, {_share('in_lang', 'l.total', 'v')} AS q
+    FROM grid JOIN t ON t.lang = grid.lang AND t.source = grid.source JOIN l ON l.lang = grid.lang),
+apart AS (SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+both_parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts)
+WHERE part = 'pair' OR rank <= 50
+"""
