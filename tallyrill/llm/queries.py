@@ -8,8 +8,8 @@ from string import ascii_lowercase, ascii_uppercase
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyrill.llm import (decontamination, divergence, language_id, language_model, line_dedup, manifest, neighbours, packing,
-                           quality, repeats, secrets, simhash)
+from tallyrill.llm import (decontamination, divergence, language_id, language_model, line_dedup, manifest, neighbours,
+                           packing, quality, repeats, secrets, simhash, toxicity)
 from tallyrill.llm.common import crc_fold, table
 from tallyrill.llm.statements import OP11_SQL, OP12_SQL
 
@@ -75,6 +75,12 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), crc_fold("doc_id", 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held))
+    return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted", "n_features")
+
+
 _OP10_SQL = f"""
 WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
 every AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS i FROM raw),
@@ -100,5 +106,5 @@ FROM marked GROUP BY doc_id
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (op1_neighbours, op2_decontamination, op3_repeats, op4_simhash, op5_ppm, op6_quality,
                             op7_secrets, op8_packing, op9_language, op10_line_dedup, op11_manifest,
-                            op12_divergence)}
+                            op12_divergence, op13_toxicity)}
 ORACLE = {"op10_line_dedup": _OP10_SQL, "op11_manifest": OP11_SQL, "op12_divergence": OP12_SQL}
