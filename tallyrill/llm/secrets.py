@@ -4,7 +4,7 @@ Base findings come from three patterns: assignments of long values to secret-lik
 ids, and long lower-case hex runs. Beyond those, base64 and hex candidates are decoded and parsed,
 and reported only where their inside is what a secret looks like: a private key in DER (lengths of
 all nested elements must fit exactly), an OpenSSH private key (length-prefixed fields), or a signed
-token whose header is a JSON object naming an algorithm.
+token whose header is a JSON object naming an algorithm. Every pattern takes time linear in the text.
 
 Spans are in code points, end exclusive. Every text is scanned whole. Defined cases: a null text is
 empty; an empty text has no spans, and the digest of no spans is that of the empty string. Null ids
@@ -18,6 +18,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -33,7 +34,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")  # a whole run of 32 or more: shorter runs would be dropped anyway
 _NAMES = re.compile(r"passw(?:or)?d|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 
-_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----\s+([A-Za-z0-9+/=\s]+?)\s*-----END \1-----")
+# One class without a dash for all that may stand between the marks, taken without going back: linear on any text.
+_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----((?:[A-Za-z0-9+/=\s]++|\\[nr])*+)-----END \1-----")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{60,76}(?:\r?\n[A-Za-z0-9+/]{1,76})++")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(e[w-z][A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
@@ -87,15 +90,27 @@ def _children(data: bytes, at: int, end: int, depth: int = 0) -> list[tuple[int,
     return out
 
 
+# The object identifiers under which a key is encrypted with a password begin so.
+_PASSWORD_OIDS = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
+
+
 def is_private_der(data: bytes) -> bool:
-    """A private key: RSA integers, a wrapped key (version, algorithm, octets) or a curve key (1, octets)."""
+    """A private key: RSA or DSA integers, a wrapped key (version, algorithm, octets), one encrypted with a password
+    (algorithm, octets) or a curve key (1, octets)."""
     outer = _element(data, 0, len(data))
     if outer is None or outer[0] != 0x30 or outer[2] != len(data):
         return False
     inner = _children(data, outer[1], outer[2])
-    if not inner or inner[0][0] != 0x02 or inner[0][2] - inner[0][1] != 1:
+    if not inner:
         return False
     tags = [t for t, _, _ in inner]
+    if tags == [0x30, 0x04]:
+        algorithm = _children(data, inner[0][1], inner[0][2])
+        return bool(algorithm) and algorithm[0][0] == 0x06 and data[algorithm[0][1]:algorithm[0][2]].startswith(_PASSWORD_OIDS)
+    if inner[0][0] != 0x02 or inner[0][2] - inner[0][1] != 1:
+        return False
+    if tags == [0x02] * 6 and data[inner[0][1]] == 0:
+        return True
     if len(tags) >= 9 and all(t == 0x02 for t in tags[:9]):
         return True
     if len(tags) >= 3 and tags[1:3] == [0x30, 0x04]:
@@ -140,17 +155,46 @@ def _kind_of(data: bytes | None) -> int | None:
     return 4 if is_openssh(data) else None
 
 
+def _wrapped_key(lines: str) -> int | None:
+    """Where a DER key at the start of wrapped base64 lines ends: its outer length says how many characters it takes."""
+    head = _decoded(lines[:16])
+    if not head or head[0] != 0x30 or not 0x81 <= head[1] <= 0x84:
+        return None
+    size = head[1] & 0x7F
+    wanted = -(-(2 + size + int.from_bytes(head[2:2 + size], "big")) * 4 // 3)
+    plain = [i for i, c in enumerate(lines) if c not in "\r\n"] if wanted <= len(lines) else []
+    if len(plain) < wanted:
+        return None
+    end = plain[wanted - 1] + 1
+    data = _decoded(lines[:end])
+    return end if data and is_private_der(data) else None
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """Findings whose decoded inside parses; what lies in a key's armour is reported once, with the armour."""
-    out, armoured = [], []
+    out, starts, ends = [], [], []
+
+    def covered(at: int) -> bool:
+        i = bisect_right(starts, at) - 1
+        return i >= 0 and at < ends[i]
+
     if "-----BEGIN" in text:
         for m in _ARMOUR.finditer(text):
-            kind = _kind_of(_decoded(m[2]))
+            body = m[2].replace("\\n", "\n").replace("\\r", "\n")
+            kind = _kind_of(_decoded(body)) if body[:1].isspace() else None
             if kind is not None:
                 out.append((m.start(), kind, m.end()))
-                armoured.append((m.start(), m.end()))
+                starts.append(m.start())
+                ends.append(m.end())
+    wrapped = []
+    if "\n" in text:
+        for m in _WRAPPED.finditer(text):
+            end = None if covered(m.start()) else _wrapped_key(m[0])
+            if end is not None:
+                wrapped.append((m.start(), 3, m.start() + end))
+    out += wrapped
     for m in _BASE64.finditer(text):
-        kind = None if any(a <= m.start() < b for a, b in armoured) else _kind_of(_decoded(m[0]))
+        kind = None if covered(m.start()) else _kind_of(_decoded(m[0]))
         if kind is not None:
             out.append((m.start(), kind, m.end()))
     for m in _ANY_HEX.finditer(text):
