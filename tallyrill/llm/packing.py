@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyrill.llm.common import text_batches, write_once
@@ -35,6 +36,7 @@ from tallyrill.llm.common import text_batches, write_once
 CAPACITY = 2048
 END = 0
 BUCKET = 50_000
+WRITTEN = "_written"  # number of a piece in the written table
 
 # Fixed value: how byte-level BPE vocabularies of this family split a text before merging.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -88,23 +90,25 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     kind = "json" if tokenizer.endswith(".json") else "tiktoken"
     added = {} if kind == "json" else added_tokens(tokenizer)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, kind, added)
-        names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else [])]
+        shape = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
+                 ("ids_crc32", pa.int64()), *([("ids", pa.list_(pa.int32()))] if keep_ids else [])]
         for part in parts:
             out = []
-            texts = [t if isinstance(t, str) else "" for t in part["text"]]
-            for key, ids in zip(part["doc_id"], encode(texts)):
+            texts = [t or "" for t in part.column(1).to_pylist()]
+            for key, ids in zip(part.column(0).to_pylist(), encode(texts)):
                 array = np.array([*ids, end], "<u4")
                 for k, (s, n) in enumerate(cut(len(array), capacity)):
                     own = array[s:s + n]
-                    row = (None if pd.isna(key) else int(key), k, s, n, zlib.crc32(own.tobytes()))
+                    row = (key, k, s, n, zlib.crc32(own.tobytes()))
                     out.append((*row, own.astype(np.int32)) if keep_ids else row)
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+            columns = list(zip(*out)) or [()] * len(shape)
+            yield pa.record_batch([pa.array(c, t) for c, (_, t) in zip(columns, shape)], schema=pa.schema(shape))
 
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if keep_ids else "")
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -175,7 +179,9 @@ def place(cuts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slots = _slots(plan(counts, capacity))
     buckets = max(1, -(-sum(counts.values()) // BUCKET))
     order = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
-    dealt = cuts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    # Rows that share an id, or have none, are spread by the number they were written with.
+    spread = [c for c in ("doc_id", "piece", WRITTEN) if c in cuts.columns]
+    dealt = cuts.withColumn("bucket", F.pmod(F.xxhash64(*spread), F.lit(buckets)))
     before = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     ahead = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = before.select("length", "bucket", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
@@ -191,7 +197,7 @@ def place(cuts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         nth = j - own[:, 1]
         return pd.DataFrame({"sequence_id": own[:, 3] + nth // own[:, 2], "offset": own[:, 4] + nth % own[:, 2] * n})
 
-    kept = [c for c in cuts.columns]
+    kept = [c for c in cuts.columns if c != WRITTEN]
     out = numbered.select(*kept, where("length", "number").alias("_at"))
     return out.select(*kept, "_at.sequence_id", "_at.offset")
 
@@ -199,4 +205,5 @@ def place(cuts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
          end: int = END, keep_ids: bool = False) -> DataFrame:
     """One row per piece with its place; with ``keep_ids`` also the ids themselves."""
-    return place(write_once(pieces(docs, tokenizer, doc_id, text, capacity, end, keep_ids), "pieces"), capacity)
+    cuts = pieces(docs, tokenizer, doc_id, text, capacity, end, keep_ids)
+    return place(write_once(cuts.withColumn(WRITTEN, F.monotonically_increasing_id()), "pieces"), capacity)
