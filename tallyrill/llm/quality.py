@@ -7,12 +7,12 @@ the weighted mean of their encodings gives the score. Only documents carry label
 matter is learned from them.
 
 The fit reads a bounded sample of the labelled rows it is given: at most ``FIT_DOCS`` documents,
-half of them of each label, chosen by a hash of the id, with at most ``FIT_PASSAGES`` evenly spaced
-passages each. Label shares of the whole training part, counted over all its rows, correct the
+half of them of each label, chosen by a hash of the id, with their whole texts. Label shares of the whole training part, counted over all its rows, correct the
 offset. Scores are computed for whole texts of all documents.
 
 Defined cases: a null or empty text is one passage without words and gets the score of such a
-passage. Documents with null or contradicting labels do not train (the least label counts). Null ids
+passage. Documents with null or contradicting labels do not train (the least label counts); of rows that repeat an id
+the text with the least hash trains. Null ids
 are scored like any other. Without both labels in the training part every score is the share of
 label 1, or 0.5 without any label. Repeated rows are scored each; other columns are ignored.
 """
@@ -29,7 +29,6 @@ from tallyrill.llm.common import hashed_block, plain_bytes, text_batches
 
 PASSAGE = 64
 FIT_DOCS = 4000
-FIT_PASSAGES = 32
 HIDDEN = 24
 ATTENTION = 16
 ROUNDS = 300
@@ -145,14 +144,14 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         for part in parts:
             rows = []
             for i, y, t in zip(part["id"], part["y"], part["text"]):
-                x = encode(t if isinstance(t, str) else None)
-                at = np.unique(np.linspace(0, len(x) - 1, min(len(x), FIT_PASSAGES)).astype(int))
-                rows.append((i, y, x[at].astype(np.float32).tobytes()))
+                rows.append((i, y, encode(t if isinstance(t, str) else None).astype(np.float32).tobytes()))
             yield pd.DataFrame(rows, columns=["id", "y", "x"])
 
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    sample = texts.join(F.broadcast(chosen), "id").mapInPandas(bags, "id long, y int, x binary").collect()
-    sample = sorted({(r["id"], r["y"], bytes(r["x"])) for r in sample})
+    # One text of each id, so that rows which repeat an id cannot outgrow the sample.
+    once = texts.join(F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = once.mapInPandas(bags, "id long, y int, x binary").collect()
+    sample = sorted((r["id"], r["y"], bytes(r["x"])) for r in sample)
     y = np.array([r[1] for r in sample])
     if len(set(y.tolist())) < 2:
         return {"share": sizes[1] / (sizes[0] + sizes[1])}
