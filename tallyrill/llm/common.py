@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyrill.scratch import write_once
 
 __all__ = ["crc_fold", "hashed_block", "hashed_words", "mix", "plain_bytes", "powers", "runs_hashed", "table",
-           "text_batches", "words_of", "write_once"]
+           "text_batches", "unused", "words_of", "write_once"]
 
 # A word is a run of characters outside this set; A-Z is lower-cased, other letters stay as they are.
 _SPACES = b"\x09\x0a\x0b\x0c\x0d\x20"
@@ -24,6 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as tell it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_batches(spark: SparkSession, rows: int = 256) -> None:
     """Send at most ``rows`` rows at a time to Python, so that a batch of very long texts fits in a worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -24,7 +24,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyrill.llm.common import text_batches
+from tallyrill.llm.common import text_batches, unused
 
 PER_LANGUAGE = 512
 PIECE = 256
@@ -116,5 +116,6 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
 
     taken = {"lang_pred", "score", "margin", "rejected"}
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in taken]
-    out = docs.select(*kept, predict(F.col(f"`{text}`")).alias("_said"))
-    return out.select(*kept, "_said.lang_pred", "_said.score", "_said.margin", "_said.rejected")
+    said = unused(docs, "_said")
+    out = docs.select(*kept, predict(F.col(f"`{text}`")).alias(said))
+    return out.select(*kept, *[f"{said}.{c}" for c in ("lang_pred", "score", "margin", "rejected")])

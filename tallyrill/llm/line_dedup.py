@@ -33,7 +33,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyrill.llm.common import write_once
+from tallyrill.llm.common import unused, write_once
 
 MIN_CHARS = 20
 
@@ -160,13 +160,14 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     """``docs`` with later copies of repeated runs cut from ``text``; adds ``n_lines`` and ``removed`` (line numbers)."""
     gone = later_copies(_lines(docs, doc_id, text), min_chars, whole_runs)
     names = docs.columns
-    whole = docs.withColumns({"_d": F.col(f"`{doc_id}`").cast("long"), "_v": F.xxhash64(F.col(f"`{text}`"))})
-    gone = gone.select(F.col("d").alias("_d2"), F.col("v").alias("_v2"), F.array_sort("gone").alias("_gone"))
-    whole = whole.join(gone, F.col("_d").eqNullSafe(F.col("_d2")) & (F.col("_v") == F.col("_v2")), "left")
+    d, v, d2, v2, lost = (unused(docs, n) for n in ("_d", "_v", "_d2", "_v2", "_gone"))
+    whole = docs.withColumns({d: F.col(f"`{doc_id}`").cast("long"), v: F.xxhash64(F.col(f"`{text}`"))})
+    gone = gone.select(F.col("d").alias(d2), F.col("v").alias(v2), F.array_sort("gone").alias(lost))
+    whole = whole.join(gone, F.col(d).eqNullSafe(F.col(d2)) & (F.col(v) == F.col(v2)), "left")
     lines = F.split(F.col(f"`{text}`").cast("string"), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(lost))
     cut = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
-    cells = [F.when(F.col("_gone").isNull(), F.col(f"`{text}`")).otherwise(cut).alias(text) if c == text
+    cells = [F.when(F.col(lost).isNull(), F.col(f"`{text}`")).otherwise(cut).alias(text) if c == text
              else F.col(f"`{c}`") for c in names if c not in ("n_lines", "removed")]
     count = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines")
-    return whole.select(*cells, count, F.coalesce("_gone", F.array().cast("array<int>")).alias("removed"))
+    return whole.select(*cells, count, F.coalesce(lost, F.array().cast("array<int>")).alias("removed"))

@@ -14,7 +14,7 @@ measured against brute force in the tests.
 
 Defined cases: rows with a null id or with a vector that is null, empty, zero, of another length
 than most, or that holds null or non-finite components take no part. Rows that repeat an id and
-vector count once. Fewer candidates than asked for give them all. Empty tables give empty results.
+vector count once; an id with several vectors is a query and a candidate with each of them. Fewer candidates than asked for give them all. Empty tables give empty results.
 Other columns are ignored.
 """
 
