@@ -15,6 +15,7 @@ from tallyrill.functions.scalar import (
     sign_band, strength_label)
 from tallyrill.functions.stats import pearson, pearson_p, significant
 from tallyrill.operators.association import association_tests
+from tallyrill.operators.ordered import along_windows
 from tallyrill.operators.rollups import dated, product_day
 
 MIN_SAMPLES = 10
@@ -109,7 +110,25 @@ def rolling_correlation(daily: DataFrame, windows: tuple[int, ...] = WINDOWS,
     if "avg_engagement" not in daily.columns:
         return None
     keys = keys or []
-    return rolling_series(daily, windows, keys).groupBy(*keys, "window_days").agg(
+    return rolling_summary(rolling_series(daily, windows, keys), keys)
+
+
+def rolling_over_rows(rows: DataFrame, order_by: list[str], x: str, y: str, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
+    """(window_days, position, r) for every full frame of one series as long as the facts.
+
+    As ``rolling_series`` without a key, but no task sorts the whole series: frames reach over the edges of its stretches.
+    """
+    wide = along_windows(rows.select(*order_by, F.col(x).alias("_x"), F.col(y).alias("_y")), order_by, {
+        f"_r{w}": lambda along, w=w: pearson("_x", "_y", over=along.rowsBetween(-(w - 1), 0)) for w in windows},
+        behind=max(windows) - 1)
+    long = wide.select("position", F.explode(F.array(*[
+        F.struct(F.lit(w).cast("bigint").alias("window_days"), F.when(F.col("position") >= w - 1, F.col(f"_r{w}")).alias("r"))
+        for w in windows])).alias("_f"))
+    return long.select("_f.window_days", "position", "_f.r").filter(F.col("r").isNotNull())
+
+
+def rolling_summary(series: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    return series.groupBy(*(keys or []), "window_days").agg(
         F.avg("r").alias("avg_correlation"),
         F.max("r").alias("max_correlation"),
         F.min("r").alias("min_correlation"),

@@ -102,6 +102,22 @@ def test_pearson_p_edges(spark):
     assert [r[0] for r in df.select(stats.pearson_p("r", "n")).collect()] == [0.0, 0.0, 1.0, None, None, 1.0]
 
 
+def test_pearson_p_far_out(spark):
+    """Exact for three degrees of freedom or five: p in closed form, in whole-number arithmetic."""
+    from decimal import Decimal, getcontext
+    getcontext().prec = 60
+    cases = [(r, n) for r in (0.1, 0.9, 0.99, 0.999999, 0.9999999999) for n in (4, 6)]
+    df = spark.createDataFrame(cases, "r double, n long").select("r", "n", stats.pearson_p("r", "n").alias("p"),
+                                                                 stats.log10_p("r", "n").alias("l"))
+    for row in df.collect():
+        s = Decimal(row.r)
+        want = 1 - s if row.n == 4 else 1 - s * (1 + (1 - s * s) / 2)
+        assert abs(Decimal(row.p) / want - 1) < Decimal("1e-12")
+        assert abs(row.l - float(want.log10())) < 1e-12
+    far = spark.createDataFrame([(0.99, 2400), (0.5, 10 ** 7)], "r double, n long").select(stats.log10_p("r", "n")).collect()
+    assert far[0][0] < -2000 and far[1][0] < -600_000
+
+
 def test_normal_tail(spark):
     zs = [0.0, 0.3, 1.0, 1.96, 2.7, 2.9, 4.0, 8.0]
     df = spark.createDataFrame([(z,) for z in zs], "z double").selectExpr(stats.normal_two_sided_p("z") + " AS p")
