@@ -11,38 +11,15 @@ Order keys should be distinct enough to split: a range shuffle keeps equal keys
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tallyrill.operators.index import contiguous_index
+from tallyrill.operators.index import contiguous_index, running_totals, stretches
 from tallyrill.scratch import write_once
 
 CHUNK_ROWS = 200_000  # rows of one stretch in ``along_windows``
 
 
-def stretches(df: DataFrame, order_by: list[str | Column], label: str) -> DataFrame:
-    """The written rows with ``_part``, the number of their stretch of the order."""
-    ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    return write_once(ordered.withColumn("_part", F.spark_partition_id()), label)
-
-
-def running_totals(df: DataFrame, order_by: list[str], amount: str, out: str) -> DataFrame:
-    """``out``: the sum of the whole-number column ``amount`` over all rows before this one.
-
-    Rows must differ in ``order_by``.
-    """
-    parts = stretches(df, order_by, "running-totals")
-    # one row per written part
-    sums = sorted(tuple(r) for r in parts.groupBy("_part").agg(F.sum(amount)).collect())
-    starts = accumulate((n for _, n in sums), initial=0)
-    ahead = df.sparkSession.createDataFrame([(p, s) for (p, _), s in zip(sums, starts)], "_part int, _ahead bigint")
-    inside = Window.partitionBy("_part").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
-    return (parts.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
-            .join(F.broadcast(ahead), "_part")
-            .withColumn(out, F.col("_ahead") + F.col("_inside")).drop("_part", "_ahead", "_inside"))
-
-
 def value_ranks(counts: DataFrame, value: str, n: str, rank: str) -> DataFrame:
     """Written (value, n, rank) from counted values: ties share the mean of the ranks they take up."""
     totals = running_totals(counts, [value], n, "_before")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyrill.functions.stats import log10_p
-from tallyrill.operators import correlation, ordered, row_association
+from tallyrill.operators import correlation, keys, ordered, row_association
 from tallyrill.plans import star
 from tallyrill.plans.analysis_queries import _ERFC, _Z
 from tallyrill.plans.registry import add, pearson_p_sql, rnd, tidy
+from tallyrill.sources import scan
 
 _LINES = ", ".join(star.LINE_ORDER)
 
@@ -125,3 +126,11 @@ add("j5_asof_events", lambda s, d: tidy(_asof(s, d)),
         f AS (SELECT b.*, e.ts AS ft, e.event_id AS forward FROM b ASOF LEFT JOIN e ON b.t <= e.ts)
         SELECT o_orderkey, backward, forward, CASE WHEN bt IS NULL THEN forward WHEN ft IS NULL THEN backward
         WHEN epoch_us(t) - epoch_us(bt) <= epoch_us(ft) - epoch_us(t) THEN backward ELSE forward END AS nearest FROM f""")
+
+# -- position in the source ----------------------------------------------------------------------
+
+add("g1_scan_order_ids",
+    lambda s, d: tidy(keys.with_transaction_id(keys.with_position(scan.with_scan_order(
+        _lines(s, d).select("l_orderkey", "l_linenumber")), list(scan.SCAN_ORDER))).drop(keys.POSITION)),
+    """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, printf('TXN%06d', row_number() OVER () - 1)
+       AS transaction_id FROM lineitem""")

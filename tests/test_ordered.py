@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyrill.operators import ordered, row_association
+from tallyrill.operators import index, ordered, row_association
+from tallyrill.sources import scan
 
 
 def ranks_of(values):
@@ -128,3 +129,27 @@ def test_a_constant_side_has_no_association(spark):
     df = spark.createDataFrame([(1.0, float(i)) for i in range(20)], "a double, b double")
     assert row_association.row_association(df, "a", "b").count() == 0
     assert row_association.row_association(df.limit(0), "a", "b").count() == 0
+
+
+@pytest.mark.parametrize("split_bytes", [200, 1 << 27])
+def test_scan_order_without_moving_rows(spark, tmp_path, split_bytes):
+    """Large files in many splits and small ones together in one task, numbered by the numbers in their names."""
+    n = 0
+    for k, lines in ((2, 300), (10, 4), (1, 3), (11, 1), (3, 90)):
+        (tmp_path / f"part-{k}.txt").write_text("".join(f"{k}:{i}\n" for i in range(lines)))
+        n += lines
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", 50)
+    try:
+        scanned = scan.with_scan_order(spark.read.text(str(tmp_path)))
+        assert (scanned.rdd.getNumPartitions() > 8) == (split_bytes == 200)
+        out = index.index_by_scan_order(scanned)
+        got = [r.value for r in sorted(out.collect(), key=lambda r: r.row_idx)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == [f"{k}:{i}" for k, lines in ((1, 3), (2, 300), (3, 90), (10, 4), (11, 1)) for i in range(lines)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Exchange", "Join", "from_json"))
+    numbered = index.contiguous_index(scanned, ["value"])
+    assert not any(word in numbered._jdf.queryExecution().executedPlan().toString() for word in ("Exchange", "Join"))
