@@ -26,16 +26,28 @@ def round_even(c: Column | str, digits: int) -> Column:
     return F.rint(col(c) * F.lit(scale)) / F.lit(scale)
 
 
-# Written date forms that are tried after ISO text, month before day where both are numbers.
-DATE_PATTERNS = ("M/d/yyyy", "yyyy/M/d", "MMM d yyyy", "MMM d, yyyy", "d MMM yyyy", "MMMM d, yyyy", "d/M/yyyy")
+# Written date forms besides ISO text that can be read in one way only.
+DATE_PATTERNS = ("yyyy/M/d", "MMM d yyyy", "MMM d, yyyy", "d MMM yyyy", "MMMM d, yyyy")
+MONTH_FIRST, DAY_FIRST = "M/d/yyyy", "d/M/yyyy"
 
 
-def to_day(c: Column | str, patterns: tuple[str, ...] = DATE_PATTERNS) -> Column:
-    """Day of a date, timestamp, ISO text or text in one of ``patterns``, tried in turn; else null."""
+def to_day(c: Column | str, day_first: bool = False) -> Column:
+    """Day of a date, timestamp, ISO text or text in one of the written forms, else null.
+
+    Numbers parted by slashes are read month first, or all of them day first: never one value this way and the next
+    the other.
+    """
     text = F.trim(col(c).cast("string"))
+    patterns = (DAY_FIRST if day_first else MONTH_FIRST, *DATE_PATTERNS)
     return F.to_date(F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(p)) for p in patterns]))
 
 
+def date_reading(c: Column | str) -> dict[str, Column]:
+    """Aggregates of a date column: values, and how many of them either order of day and month reads."""
+    text = F.trim(col(c).cast("string"))
+    return {"values": F.count(text), "month_first": F.count(to_day(text)), "day_first": F.count(to_day(text, True))}
+
+
 def numbered_id(prefix: str, index: Column | str, width: int = 6) -> Column:
     return F.format_string(f"{prefix}%0{width}d", col(index))
 

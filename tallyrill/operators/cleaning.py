@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tallyrill.functions.scalar import calendar_columns, category_of, round_even
 from tallyrill.operators import keys as key_ops
@@ -131,11 +131,16 @@ def engagement_rate(columns: list[str], platform: str) -> Column | None:
 
 
 def clean_social(df: DataFrame, platform: str, order_by: list[str] | None = None) -> DataFrame:
-    """Posts of one platform: first of each id, dated rows, engagement rate, calendar, platform."""
+    """Posts of one platform: first of each id, dated rows, engagement rate, calendar, platform.
+
+    Without ``order_by`` the first row is the first that the scan of ``df`` yields.
+    """
     df = nan_to_null(df)
     ids = present(df, ("post_id", "video_id"))
-    if ids:
-        df = keep_first(df, ids, order_by or df.columns)
+    if ids and order_by:
+        df = keep_first(df, ids, order_by)
+    elif ids:
+        df = keep_first(df.withColumn("_input", F.monotonically_increasing_id()), ids, ["_input"]).drop("_input")
     if order_by:
         df = df.drop(*[c for c in order_by if c.startswith("_")])
     if "date" in df.columns:
@@ -186,23 +191,25 @@ def cleaning_funnel(df: DataFrame, keys: list[str], order_by: list[str], require
                     positive: tuple[str, ...], outlier: str) -> DataFrame:
     """Rows left after each cleaning step, rows removed and their share.
 
-    Conditions are evaluated side by side in one aggregate over the de-duplicated rows.
+    The input is read once: the task that writes the first row of each key observes how many rows the keys had and
+    which conditions hold. Only what the fence on the outlier column needs is read from the written copy.
     """
-    first = write_once(keep_first(df, keys, order_by), "funnel")
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required])
     valid = reduce(lambda a, b: a & b, [F.coalesce(F.col(c) > 0, F.lit(False)) for c in positive], complete)
+    # Observed above the last shuffle, where every row is counted once however often tasks are run again.
+    seen = Observation("funnel")
+    unique = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min_by(
+        F.struct(*df.columns), F.struct(*order_by)).alias("_row")).select("_row.*", "_rows")
+    first = write_once(unique.observe(
+        seen, F.sum("_rows").alias("rows_initial"), F.count(F.lit(1)).alias("rows_unique"),
+        F.count(F.when(complete, 1)).alias("rows_complete"), F.count(F.when(valid, 1)).alias("rows_valid")), "funnel")
+    rows = seen.get
     bounds = iqr_bounds(first.filter(valid), outlier) or (0.0, 0.0)
-    inside = valid & F.col(outlier).between(F.lit(bounds[0]), F.lit(bounds[1]))
-    counts = first.agg(
-        F.count(F.lit(1)).alias("rows_unique"),
-        F.count(F.when(complete, 1)).alias("rows_complete"),
-        F.count(F.when(valid, 1)).alias("rows_valid"),
-        F.count(F.when(inside, 1)).alias("rows_final"),
-        F.countDistinct(F.when(inside, F.col("customer_id"))).alias("unique_customers"),
-        F.countDistinct(F.when(inside, F.col("product_id"))).alias("unique_products"),
-    )
-    initial = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    out = counts.withColumn("rows_initial", initial)
+    inside = within(first.filter(valid), outlier, bounds)
+    out = inside.agg(
+        *[F.lit(rows[c] or 0).cast("bigint").alias(c) for c in ("rows_initial", "rows_unique", "rows_complete", "rows_valid")],
+        F.count(F.lit(1)).alias("rows_final"),
+        F.countDistinct("customer_id").alias("unique_customers"), F.countDistinct("product_id").alias("unique_products"))
     removed = F.col("rows_initial") - F.col("rows_final")
     return out.withColumns({
         "rows_removed": removed,

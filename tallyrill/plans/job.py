@@ -85,12 +85,16 @@ def run_job(spark: SparkSession, config: dict | None = None, tables: dict[str, D
     conf = merged_config(config)
     folder = conf["output"]["clean_data_path"].rstrip("/")
     history = conf["output"].get("history_path", f"{folder}/execution_history")
+    skipped = set(conf["pipeline"]["skip_stages"])
+    if not skipped <= set(STAGES[2:]):
+        raise ValueError(f"only {STAGES[2:]} can be skipped")
     record = RunRecord(start_time=_now())
     results: dict = {"stats": record}
     stage = STAGES[0]
     try:
         with scratch.scope(spark):  # every result of the run reads from the output folder
             if tables is None:
+                results["absent_sources"] = scan.absent_sources(spark, conf)
                 raw = scan.read_all_sources(spark, conf, keep_order=True)
                 order_by = list(scan.SCAN_ORDER)
             else:
@@ -98,38 +102,48 @@ def run_job(spark: SparkSession, config: dict | None = None, tables: dict[str, D
             record.stages_completed.append(stage)
 
             stage = STAGES[1]
-            data = transform_all(raw, order_by or [], lambda name, df: sinks.write_unless_empty(
-                df, f"{folder}/{name}_processed", fmt))
-            results["data"] = data
+            rows: dict[str, int] = {}
+
+            def stored(name: str, df: DataFrame) -> DataFrame | None:
+                kept, n = sinks.write_counted(df, f"{folder}/{name}_processed", fmt)
+                rows.update({name: n} if kept is not None else {})
+                return kept
+
+            data = transform_all(raw, order_by or [], stored)
+            results["data"], results["rows"] = data, rows
             results["missing_outputs"] = quality.missing_outputs(set(data))
             record.stages_completed.append(stage)
 
             stage = STAGES[2]
-            if conf["pipeline"].get("enable_validation", True):
+            if conf["pipeline"]["enable_validation"] and stage not in skipped:
                 details = sinks.write_back(quality.validate_tables(data), f"{folder}/validation_checks", fmt)
                 verdicts = quality.dataset_verdicts(details, [n for n in quality.SUITES if n in data])
                 results["validation"] = {"details": details, "verdicts": verdicts}
                 results["report_path"] = sinks.write_validation_report(
                     verdicts, details, f"{folder}/validation", record.start_time)
-            record.stages_completed.append(stage)
+                sinks.append_checks(details, f"{folder}/validation_history", record.start_time)
+                record.stages_completed.append(stage)
 
             stage = STAGES[3]
-            if "sales" not in data:
-                raise ValueError("no sales to segment")
-            seg = segmentation.segment_customers(data["sales"])
-            seg["rfm"], seg["segments"] = sinks.write_segmentation(seg["rfm"], seg["segments"], folder, fmt)
-            seg["pca"] = sinks.write_back(seg["pca"], f"{folder}/segments_pca", fmt)
-            seg["report"] = segmentation.with_strategies(segmentation.segment_report(seg["segments"]))
-            results["segmentation"] = seg
-            record.stages_completed.append(stage)
+            if stage not in skipped:
+                if "sales" not in data:
+                    raise ValueError("no sales to segment")
+                seg = segmentation.segment_customers(data["sales"])
+                seg["rfm"], seg["segments"] = sinks.write_segmentation(seg["rfm"], seg["segments"], folder, fmt)
+                seg["pca"] = sinks.write_back(seg["pca"], f"{folder}/segments_pca", fmt)
+                seg["report"] = segmentation.with_strategies(segmentation.segment_report(seg["segments"]))
+                results["segmentation"] = seg
+                record.stages_completed.append(stage)
 
             stage = STAGES[4]
-            missing = [n for n in ("sales", "daily_aggregates") if n not in data]
-            if missing:
-                raise ValueError(f"missing tables: {missing}")
-            found = correlation.analyze(data["daily_aggregates"], seg["segments"], data["sales"])
-            results["correlation"] = sinks.write_correlations(found, folder, fmt)
-            record.stages_completed.append(stage)
+            if stage not in skipped:
+                missing = [n for n in ("sales", "daily_aggregates") if n not in data]
+                if missing:
+                    raise ValueError(f"missing tables: {missing}")
+                segments = results.get("segmentation", {}).get("segments")
+                found = correlation.analyze(data["daily_aggregates"], segments, data["sales"])
+                results["correlation"] = sinks.write_correlations(found, folder, fmt)
+                record.stages_completed.append(stage)
             record.status = "completed"
     except Exception as problem:  # the job reports every failure the same way
         record.status = "failed"
@@ -140,6 +154,8 @@ def run_job(spark: SparkSession, config: dict | None = None, tables: dict[str, D
     ok = record.status == "completed"
     sinks.append_run(spark, history, "success" if ok else "error", record.duration_seconds,
                      None if ok else record.errors[0], record.end_time)
+    sinks.retain_runs(spark, history)
+    sinks.append_run_record(spark, f"{folder}/run_records", record.as_row())
     if not ok:
         return None
     results["completeness"] = quality.output_completeness(spark, _outputs(results))
@@ -164,8 +180,10 @@ def stage_summary(results: dict) -> DataFrame:
         parts.append(df.select(F.lit(stage).alias("stage"), name.alias("metric"),
                                value.cast("double").alias("value")))
 
-    for name, df in results.get("data", {}).items():
-        add("transformation", f"rows_{name}", df.agg(F.count(F.lit(1)).alias("n")), F.col("n"))
+    if results.get("rows"):  # observed while the tables were written
+        rows = results["data"][next(iter(results["data"]))].sparkSession.createDataFrame(
+            [(f"rows_{name}", n) for name, n in results["rows"].items()], "metric string, n bigint")
+        add("transformation", F.col("metric"), rows, F.col("n"))
     if "validation" in results:
         one = quality.overall(results["validation"]["verdicts"])
         add("validation", "datasets_passed", one, F.col("passed"))

@@ -67,6 +67,16 @@ RUN_HISTORY_SCHEMA = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
+RUN_RECORD_SCHEMA = T.StructType([
+    T.StructField("start_time", T.StringType()),
+    T.StructField("end_time", T.StringType()),
+    T.StructField("duration_seconds", T.DoubleType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("stages_completed", T.ArrayType(T.StringType())),
+    T.StructField("stages_failed", T.ArrayType(T.StringType())),
+    T.StructField("errors", T.ArrayType(T.StringType())),
+])
+
 # Segment labels and how strongly each reacts to engagement.
 SEGMENT_WEIGHTS = {"VIP": 1.3, "Leal": 1.1, "Ocasional": 0.9, "Dormido": 0.7}
 
@@ -99,20 +109,12 @@ EXPECTED_OUTPUTS = ("sales", "social_media_merged", "daily_aggregates", "custome
                     "correlation_general")
 CRITICAL_OUTPUTS = ("sales", "social_media_merged", "daily_aggregates")
 
+# Settings a run may override, section by section. Only what the job reads is here.
 DEFAULT_CONFIG = {
     "data_sources": {
-        "sales": {"path": "data/raw/sales.csv"},
-        "social_media": {
-            "instagram": {"enabled": True, "path": "data/raw/instagram_data.json"},
-            "tiktok": {"enabled": True, "path": "data/raw/tiktok_data.json"},
-            "youtube": {"enabled": True, "path": "data/raw/youtube_data.json"},
-        },
-    },
-    "pipeline": {
-        "enable_validation": True,
-        "enable_transformation": True,
-        "enable_feature_engineering": False,
-        "enable_modeling": False,
+        "sales": {"path": "landing/sales.csv"},
+        "social_media": {p: {"enabled": True, "path": f"landing/{p}.json"} for p in PLATFORMS},
     },
-    "output": {"clean_data_path": "data/clean/", "logs_path": "logs/"},
+    "pipeline": {"enable_validation": True, "skip_stages": []},
+    "output": {"clean_data_path": "out"},
 }

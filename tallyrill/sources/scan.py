@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyrill import schemas
-from tallyrill.functions.scalar import to_day
+from tallyrill.functions.scalar import date_reading, to_day
 
 # Position of a row in its source: file, split of the file, order inside the split.
 SCAN_ORDER = ("_src_file", "_src_block", "_src_seq")
@@ -15,18 +15,18 @@ class DuplicateColumn(ValueError):
     """Two source columns map to the same canonical name."""
 
 
-def _located(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _located(spark, path)
+    fs, hadoop_path = located(spark, path)
     return fs.exists(hadoop_path)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
-    fs, hadoop_path = _located(spark, path)
+    fs, hadoop_path = located(spark, path)
     fs.delete(hadoop_path, True)
 
 
@@ -64,9 +64,12 @@ def _has_line_breaks_in_quotes(spark: SparkSession, path: str) -> bool:
 
 
 def read_sales_csv(spark: SparkSession, path: str, multi_line: bool | None = None,
-                   keep_order: bool = False) -> DataFrame:
+                   keep_order: bool = False, day_first: bool | None = None) -> DataFrame:
     """Sales CSV with free-form headers, typed by canonical name, dates coerced to days.
 
+    ``day_first=None`` reads the whole date column in the order of day and month that reads more of it, month first on
+    ties.
+
     ``multi_line=None`` looks once for quoted line breaks: without them the file stays
     splittable, with them one task reads each file whole, as the format demands. State True or
     False for large inputs to save that look.
@@ -81,27 +84,31 @@ def read_sales_csv(spark: SparkSession, path: str, multi_line: bool | None = Non
     named = raw.select(
         *[F.col(f"`{c}`").alias(n) for c, n in zip(data_columns, canonical_sales_names(data_columns))],
         *[c for c in raw.columns if c in SCAN_ORDER])
-    return typed_sales(named, fractional_columns(named))
+    fractional, found = column_traits(named)
+    return typed_sales(named, fractional, found if day_first is None else day_first)
 
 
-def fractional_columns(df: DataFrame) -> set[str]:
-    """Columns meant for whole numbers that hold fractions; one look at those columns alone."""
+def column_traits(df: DataFrame) -> tuple[set[str], bool]:
+    """Columns meant for whole numbers that hold fractions, and whether dates are written day first; one look at both."""
     names = [c for c in df.columns if schemas.SALES_TYPES.get(c) == "bigint"]
-    if not names:
-        return set()
     value = {c: missing_to_null(F.trim(F.col(f"`{c}`"))).try_cast("double") for c in names}
-    found = df.agg(*[F.bool_or(v != F.floor(v)).alias(c) for c, v in value.items()]).first()
-    return {c for c in names if found[c]}
+    looks = {f"_{c}": F.bool_or(v != F.floor(v)) for c, v in value.items()}
+    if "date" in df.columns:
+        looks |= date_reading(missing_to_null(F.col("date")))
+    if not looks:
+        return set(), False
+    found = df.agg(*[c.alias(n) for n, c in looks.items()]).first().asDict()
+    return {c for c in names if found[f"_{c}"]}, found.get("day_first", 0) > found.get("month_first", 0)
 
 
-def typed_sales(df: DataFrame, fractional: set[str] = frozenset()) -> DataFrame:
+def typed_sales(df: DataFrame, fractional: set[str] = frozenset(), day_first: bool = False) -> DataFrame:
     out = []
     for name in df.columns:
         c = F.col(f"`{name}`")
         if name in SCAN_ORDER:
             out.append(c)
         elif name == "date":
-            out.append(to_day(missing_to_null(c)).alias(name))
+            out.append(to_day(missing_to_null(c), day_first).alias(name))
         elif name in fractional:
             out.append(missing_to_null(F.trim(c)).try_cast("double").alias(name))
         elif schemas.SALES_TYPES.get(name) == "bigint":
@@ -138,14 +145,23 @@ def read_social_json(spark: SparkSession, path: str, platform: str, enabled: boo
     return df.withColumn("date", to_day("date")) if "date" in df.columns else df
 
 
+def absent_sources(spark: SparkSession, config: dict) -> list[str]:
+    """Enabled social sources whose path is not there: they are left out of a run, and reported."""
+    social = config["data_sources"].get("social_media", {})
+    given = {p: social[p] for p in schemas.PLATFORMS if social.get(p) and social[p].get("enabled", True)}
+    return [p for p, conf in given.items() if not path_exists(spark, conf["path"])]
+
+
 def read_all_sources(spark: SparkSession, config: dict, keep_order: bool = False) -> dict[str, DataFrame]:
-    """Every enabled source; a social source whose path is absent is left out."""
+    """Every enabled source; a social source whose path is absent is left out (``absent_sources`` names it)."""
     sources = config["data_sources"]
     sales = sources["sales"]
-    tables = {"sales": read_sales_csv(spark, sales["path"], sales.get("multi_line"), keep_order)}
+    tables = {"sales": read_sales_csv(spark, sales["path"], sales.get("multi_line"), keep_order,
+                                       sales.get("day_first"))}
+    absent = absent_sources(spark, config)
     for platform in schemas.PLATFORMS:
         conf = sources.get("social_media", {}).get(platform)
-        if not conf or not conf.get("enabled", True) or not path_exists(spark, conf["path"]):
+        if not conf or not conf.get("enabled", True) or platform in absent:
             continue
         tables[platform] = read_social_json(
             spark, conf["path"], platform, json_lines=conf.get("json_lines", False),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from tallyrill import schemas
 from tallyrill.sources import scan
@@ -28,16 +29,39 @@ def write_back(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).format(fmt).option("header", True).load(path)
 
 
+def write_counted(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame | None, int]:
+    """``write_back`` and the number of rows, observed while they are written; None and no output without rows."""
+    seen = Observation()
+    stored = write_back(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, fmt)
+    if seen.get["rows"]:
+        return stored, seen.get["rows"]
+    scan.remove_path(df.sparkSession, path)
+    return None, 0
+
+
 def write_unless_empty(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """``write_back``, or None and no output for a table without rows.
+    """``write_back``, or None and no output for a table without rows."""
+    return write_counted(df, path, fmt)[0]
+
+
+MONTHS = ("year", "month")
 
-    Emptiness is read off the written files; asking the plan itself would run it twice.
+
+def write_months(df: DataFrame, path: str, by: tuple[str, ...] = MONTHS) -> None:
+    """A table laid out by month; months in ``df`` replace those on disk, all others stay as they are.
+
+    Rows are gathered by month, and a month too large for one task is split over several files.
     """
-    stored = write_back(df, path, fmt)
-    if not stored.isEmpty():
-        return stored
-    scan.remove_path(df.sparkSession, path)
-    return None
+    gathered = df.hint("rebalance", *by)
+    gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def read_months(spark: SparkSession, path: str, **months: int) -> DataFrame:
+    """The table, or only the files of one year or month: ``read_months(spark, path, year=2024, month=2)``."""
+    df = spark.read.parquet(path)
+    for name, value in months.items():
+        df = df.filter(F.col(name) == value)
+    return df
 
 
 def write_processed(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, DataFrame]:
@@ -102,6 +126,40 @@ def append_run(spark: SparkSession, path: str, status: str, duration_seconds: fl
      .write.mode("append").option("ignoreNullFields", False).json(path))
 
 
+def append_checks(details: DataFrame, path: str, run_at: datetime) -> None:
+    """Append (run, dataset, check, passed): one row per check of a run, next to those of earlier runs."""
+    rows = details.select(F.lit(run_at.isoformat()).alias("run"), "dataset", "check", "passed")
+    rows.coalesce(1).write.mode("append").parquet(path)
+
+
+def append_run_record(spark: SparkSession, path: str, record: dict) -> None:
+    """Append what a run did: its times, status, stages completed and failed, and errors."""
+    row = {k: v.isoformat() if isinstance(v, datetime) else v for k, v in record.items()}
+    df = spark.createDataFrame([tuple(row[f.name] for f in schemas.RUN_RECORD_SCHEMA.fields)], schemas.RUN_RECORD_SCHEMA)
+    df.coalesce(1).write.mode("append").option("ignoreNullFields", False).json(path)
+
+
+def retain_runs(spark: SparkSession, path: str, keep: int = 50, grace_seconds: float = 3600) -> None:
+    """Shrink a run history on disk to one file with the newest ``keep`` records.
+
+    The new file is complete before any old one goes, and readers drop records they see twice, so a reader finds
+    all kept records at any time. Old files go once they are ``grace_seconds`` old: a reader that listed them
+    has that long to finish. Files that other runs append meanwhile are not touched.
+    """
+    fs, folder = scan.located(spark, path)
+    before = [f for f in fs.listStatus(folder) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    history = scan.read_run_history(spark, path)
+    held = history.count()
+    rows = read_kept_runs(spark, path, keep).collect()  # at most ``keep`` records
+    if held > keep:
+        (spark.createDataFrame(rows, schemas.RUN_HISTORY_SCHEMA).coalesce(1)
+         .write.mode("append").option("ignoreNullFields", False).json(path))
+        latest = time.time() - grace_seconds
+        for f in before:
+            if f.getModificationTime() / 1000 <= latest:
+                fs.delete(f.getPath(), False)
+
+
 def latest_runs(history: DataFrame, keep: int = 50) -> DataFrame:
     """The newest ``keep`` runs: the retention rule of the history."""
     newest = history.orderBy(F.col("timestamp").desc()).limit(keep)
@@ -110,4 +168,4 @@ def latest_runs(history: DataFrame, keep: int = 50) -> DataFrame:
 
 
 def read_kept_runs(spark: SparkSession, path: str, keep: int = 50) -> DataFrame:
-    return latest_runs(scan.read_run_history(spark, path), keep).drop("run_rank")
+    return latest_runs(scan.read_run_history(spark, path).dropDuplicates(), keep).drop("run_rank")

@@ -142,7 +142,7 @@ def test_scan_order_without_moving_rows(spark, tmp_path, split_bytes):
     spark.conf.set("spark.sql.files.openCostInBytes", 50)
     try:
         scanned = scan.with_scan_order(spark.read.text(str(tmp_path)))
-        assert split_bytes > 200 or scanned.rdd.getNumPartitions() > 20
+        assert split_bytes > 200 or scanned.rdd.getNumPartitions() > 8
         out = index.index_by_scan_order(scanned)
         got = [r.value for r in sorted(out.collect(), key=lambda r: r.row_idx)]
     finally:
