@@ -209,7 +209,8 @@ def cleaning_funnel(df: DataFrame, keys: list[str], order_by: list[str], require
     out = inside.agg(
         *[F.lit(rows[c] or 0).cast("bigint").alias(c) for c in ("rows_initial", "rows_unique", "rows_complete", "rows_valid")],
         F.count(F.lit(1)).alias("rows_final"),
-        F.countDistinct("customer_id").alias("unique_customers"), F.countDistinct("product_id").alias("unique_products"))
+        *[inside.groupBy(c).agg(F.lit(1)).agg(F.count(c)).scalar().alias(n)
+          for c, n in (("customer_id", "unique_customers"), ("product_id", "unique_products"))])
     removed = F.col("rows_initial") - F.col("rows_final")
     return out.withColumns({
         "rows_removed": removed,

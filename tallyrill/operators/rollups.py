@@ -15,15 +15,24 @@ def dated(df: DataFrame) -> DataFrame:
 
 
 def daily_sales(sales: DataFrame) -> DataFrame:
-    """One row per day; plain sums are combined before the shuffle, hot days included."""
-    return dated(sales).groupBy("date").agg(
-        F.coalesce(F.sum("amount"), F.lit(0.0)).alias("total_sales"),
-        F.avg("amount").alias("avg_order_value"),
-        F.count("amount").alias("num_transactions"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.countDistinct("product_id").alias("unique_products"),
-        F.coalesce(F.sum("quantity"), F.lit(0)).alias("total_units"),
-    )
+    """One row per day; plain sums are combined before the shuffle, hot days included.
+
+    Distinct customers are counted in two levels on the way to the sums, distinct products from the pairs of day and
+    product: no row is multiplied, and a hot day spreads over its customers and products.
+    """
+    rows = dated(sales)
+    per_customer = rows.groupBy("date", "customer_id").agg(
+        F.sum("amount").alias("_amount"), F.count("amount").alias("_n"), F.sum("quantity").alias("_units"))
+    days = per_customer.groupBy("date").agg(
+        F.coalesce(F.sum("_amount"), F.lit(0.0)).alias("total_sales"),
+        F.try_divide(F.sum("_amount"), F.sum("_n")).alias("avg_order_value"),
+        F.sum("_n").alias("num_transactions"),
+        F.count("customer_id").alias("unique_customers"),
+        F.coalesce(F.sum("_units"), F.lit(0)).alias("total_units"))
+    products = rows.select("date", "product_id").distinct().groupBy("date").agg(
+        F.count("product_id").alias("unique_products"))
+    return days.join(products, "date").select(
+        "date", "total_sales", "avg_order_value", "num_transactions", "unique_customers", "unique_products", "total_units")
 
 
 def daily_social(social: DataFrame) -> DataFrame:

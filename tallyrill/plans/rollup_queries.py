@@ -329,6 +329,7 @@ add("g4_customer_ids_plain",
                       .select(F.col("_dated").alias("row_idx"), "date", "customer_id")),
     sql(f"SELECT pos AS row_idx, {day()}, pos // 5 + 1 AS customer_id FROM t", "sales", p=_POS, t=_DATED))
 
+# The keyword rules of the categories, in order.
 _CATEGORY = """CASE WHEN regexp_matches(lower({c}), 'protein|whey|casein|isolate') THEN 'Protein'
     WHEN regexp_matches(lower({c}), 'creatine|bcaa|amino|glutamine|eaa') THEN 'Amino Acids'
     WHEN regexp_matches(lower({c}), 'vitamin|mineral|multivitamin|omega|fish oil') THEN 'Vitamins'

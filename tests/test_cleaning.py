@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyrill.operators import cleaning, index, keys, quantiles
+from tallyrill.operators import cleaning, index, keys, quality, quantiles, rollups
 from tallyrill.sources import scan
 
 START = dt.date(2024, 1, 1)
@@ -29,10 +29,11 @@ def test_keys_are_created(spark):
 
 
 def test_amounts_are_derived(spark):
-    out = cleaning.with_amount(sales(spark, [1, 2, 3, 4, 5]))
-    assert sorted(r.amount for r in out.collect()) == [10, 20, 30, 40, 50]
-    less = cleaning.with_amount(sales(spark, [1, 2], discount=[50.0, 0.0]))
-    assert sorted(r.amount for r in less.collect()) == [5, 20]
+    rows = [(3, 2.25, 0.0), (7, 0.5, 20.0), (4, 12.5, 100.0), (None, 8.0, 0.0)]
+    df = spark.createDataFrame(rows, "quantity int, unit_price double, discount double")
+    plain = cleaning.with_amount(df.drop("discount"))
+    assert [r.amount for r in plain.collect()] == [6.75, 3.5, 50.0, None]
+    assert [r.amount for r in cleaning.with_amount(df).collect()] == pytest.approx([6.75, 2.8, 0.0, None])
 
 
 def test_invalid_rows_are_removed(spark):
@@ -101,11 +102,11 @@ def test_rate_is_derived_from_a_file_that_has_none(spark, tmp_path):
 
 
 @pytest.mark.parametrize("platform, columns, want", [
-    ("instagram", {"likes": 100, "comments": 20, "shares": 10, "followers": 1000}, 0.13),
-    ("tiktok", {"likes": 100, "comments": 20, "shares": 10, "views": 1000}, 0.13),
-    ("tiktok", {"likes": 100, "comments": 20, "views": 1000}, 0.12),
-    ("youtube", {"likes": 100, "comments": 20, "shares": 10, "views": 1000}, 0.12),
-    ("youtube", {"likes": 100, "comments": 20, "views": 0}, None),
+    ("instagram", {"likes": 37, "comments": 5, "shares": 3, "followers": 720}, 0.0625),
+    ("tiktok", {"likes": 61, "comments": 9, "shares": 14, "views": 480}, 0.175),
+    ("tiktok", {"likes": 61, "comments": 9, "views": 480}, 0.1458),
+    ("youtube", {"likes": 27, "comments": 6, "shares": 99, "views": 264}, 0.125),
+    ("youtube", {"likes": 27, "comments": 6, "views": 0}, None),
     ("youtube", {"likes": 1, "comments": 0, "views": 20000}, 0.0),
 ])
 def test_engagement_rates(spark, platform, columns, want):
@@ -222,3 +223,15 @@ def test_funnel(spark):
     r = cleaning.cleaning_funnel(df, ["t"], ["n"], ("customer_id", "date"), ("quantity", "amount"), "amount").first()
     assert (r.rows_initial, r.rows_unique, r.rows_complete, r.rows_valid, r.rows_final) == (9, 8, 7, 6, 5)
     assert r.rows_removed == 4 and round(r.removed_pct, 3) == 44.444 and r.unique_customers == 4
+
+
+def test_distinct_counts_multiply_no_row(spark):
+    """Plans of rollups, checks and the funnel hold no Expand, which would copy every row per distinct count."""
+    df = spark.createDataFrame([(START, f"t{i}", i % 4, i % 3, 1.0 + i, 2) for i in range(30)],
+                               "date date, transaction_id string, customer_id long, product_id long, amount double, quantity long")
+    frames = [rollups.daily_sales(df), quality.suite(df, "sales"), cleaning.cleaning_funnel(
+        df, ["transaction_id"], ["quantity"], ("customer_id",), ("amount",), "amount")]
+    for frame in frames:
+        assert "Expand" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert frames[0].first().unique_customers == 4 and frames[0].first().unique_products == 3
+    assert frames[2].first().unique_customers == 4
