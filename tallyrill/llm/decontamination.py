@@ -15,7 +15,8 @@ item's inverse document frequencies, so words that stand everywhere confirm noth
 word has to be kept. All passages of all documents are searched; there is no limit on candidates.
 
 The driver holds the items (a query set that every task needs whole, refused beyond ``MAX_ITEM_WORDS``
-words in total), their term weights, and matrices of terms by latent dimensions.
+words in total), their term weights, and matrices of terms by latent dimensions. At that limit a task holds
+some 85 MB of item vectors and 64 MB of cosines at a time.
 
 Defined cases: null and empty texts have no passages and are clean. Items without words match
 nothing. Null ids are reported as they are, repeated rows each; items are told apart by row, so one
@@ -43,8 +44,10 @@ MIN_COSINE = 0.6
 COPY_SHARE = 0.8
 PARAPHRASE_SHARE = 0.5
 RARE_SHARE = 1 / 3
-MAX_ITEM_WORDS = 20_000_000
+MAX_ITEM_WORDS = 4_000_000
 _ROWS = 1 << 13
+_BLOCK = 1 << 9
+_CELLS = 1 << 24  # cosines worked out at a time
 _SLICES = 16
 
 
@@ -84,16 +87,31 @@ def weights(rows: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def project(rows: np.ndarray, weight: np.ndarray, space: np.ndarray) -> np.ndarray:
-    """Unit vectors of passages in the latent space; zero for passages without terms."""
+    """Unit vectors of passages in the latent space; zero for passages without terms.
+
+    Passages with as many terms stand together, and their first, second, ... terms are added at a time, so a
+    block of sums stays in the processor's cache.
+    """
     out = np.zeros((len(rows), space.shape[1]), np.float32)
-    used = weight > 0
-    passage, place = np.nonzero(used)
-    for i in range(0, len(rows), 512):
-        a, b = np.searchsorted(passage, [i, min(len(rows), i + 512)])
-        if a < b:
-            part = space[rows[passage[a:b], place[a:b]]] * weight[passage[a:b], place[a:b]][:, None]
-            heads = np.flatnonzero(np.diff(passage[a:b], prepend=-1))
-            out[passage[a:b][heads]] = np.add.reduceat(part, heads, axis=0)
+    passage, place = np.nonzero(weight > 0)
+    size = np.bincount(passage, minlength=len(rows))
+    order = np.argsort(-size, kind="stable")
+    nth = np.arange(len(passage)) - np.repeat(np.cumsum(size) - size, size)
+    terms, value = np.zeros((2, size.max(initial=0), len(rows)))
+    rank = np.empty(len(rows), np.int64)
+    rank[order] = np.arange(len(rows))
+    terms[nth, rank[passage]], value[nth, rank[passage]] = rows[passage, place], weight[passage, place]
+    terms, value, size = terms.astype(np.int32), value.astype(np.float32), size[order]
+    part = np.empty((_BLOCK, space.shape[1]), np.float32)
+    for i in range(0, len(rows), _BLOCK):
+        own = size[i:i + _BLOCK]
+        total = np.zeros((len(own), space.shape[1]), np.float32)
+        for j in range(own[0]):
+            k = int(np.searchsorted(-own, -j))  # how many have a term of this place
+            np.take(space, terms[j, i:i + k], axis=0, out=part[:k], mode="clip")
+            part[:k] *= value[j, i:i + k, None]
+            total[:k] += part[:k]
+        out[order[i:i + _BLOCK]] = total
     norm = np.linalg.norm(out, axis=1, keepdims=True)
     return np.divide(out, norm, out=out, where=norm > 1e-9)
 
@@ -251,8 +269,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
             h, o = hashed_words([t if isinstance(t, str) else None for t in part["text"]])
             found, whose, start = passages(term_numbers(h, terms), o, none)
             hits: dict[tuple[int, int], list] = {}
-            for i in range(0, len(found), _ROWS):
-                near = project(*weights(found[i:i + _ROWS], idf), wide) @ queries.T
+            step = max(1, min(_ROWS, _CELLS // len(queries)))
+            for i in range(0, len(found), step):
+                near = project(*weights(found[i:i + step], idf), wide) @ queries.T
                 at, q = np.nonzero(near >= min_cosine)
                 for p, k, c in zip((at + i).tolist(), owner[q].tolist(), near[at, q].tolist()):
                     hits.setdefault((int(whose[p]), k), []).append((int(start[p]), c))
