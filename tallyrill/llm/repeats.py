@@ -18,7 +18,7 @@ The sort is by range on the words themselves, so a passage that a third of the c
 spread over many tasks. Neighbours across the edge of two ranges are compared in a second, small step.
 
 Defined cases: null, empty and short texts have no repeats. Rows that share an id are one document;
-rows without an id are told apart by their text. Repeats inside one document alone do not count.
+rows without an id are told apart by their text and reported without one. Repeats inside one document alone do not count.
 Empty tables give empty results. Other columns are ignored.
 """
 
@@ -231,6 +231,13 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     ahead = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opens = spans.withColumn("new", F.coalesce((F.col("from") > ahead).cast("int"), F.lit(1)))
     passage = opens.withColumn("passage", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return (passage.groupBy("doc", "passage").agg(F.min("from").alias("start"), F.max("to").alias("end"), F.min("other").alias("other"))
-            .select(F.col("doc").alias("doc_id"), F.col("start").cast("long").alias("start"),
-                    (F.col("end") - F.col("start")).cast("long").alias("n_words"), F.col("other").alias("other_doc")))
+    spans = (passage.groupBy("doc", "passage")
+             .agg(F.min("from").alias("start"), F.max("to").alias("end"), F.min("other").alias("other")))
+    # Texts without an id went by a number of their own; they are reported without one.
+    absent = write_once(docs.where(F.col(f"`{doc_id}`").isNull()).select(
+        F.xxhash64(F.col(f"`{text}`").cast("string")).alias("id")).distinct(), "absent-ids")
+    for name in ("doc", "other"):
+        spans = spans.join(absent.select(F.col("id").alias(name), F.lit(True).alias(f"no_{name}")), name, "left")
+    return spans.select(F.when(F.col("no_doc").isNull(), F.col("doc")).alias("doc_id"), F.col("start").cast("long").alias("start"),
+                        (F.col("end") - F.col("start")).cast("long").alias("n_words"),
+                        F.when(F.col("no_other").isNull(), F.col("other")).alias("other_doc"))

@@ -6,7 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tallyrill.llm import language_id, line_dedup, packing, quality, secrets
+from tallyrill.llm import language_id, line_dedup, packing, quality, repeats, secrets
 
 from .conftest import DOCS
 
@@ -100,3 +100,11 @@ def test_quality_gradient_and_attention():
     _, _, _, alpha, _, out, _ = quality._forward(model, x, heads)
     assert np.allclose(np.add.reduceat(alpha, heads), 1)
     assert ((out > 0) == (labels > 0)).mean() > 0.95
+
+
+def test_repeats_invent_no_id(spark):
+    passage = " ".join(f"w{i}" for i in range(90))
+    rows = [(None, "a b " + passage, "en", "s", 0), (7, passage + " c", "en", "s", 0), (8, "alone here", "en", "s", 0),
+            (None, None, "en", "s", 0)]
+    got = {(r.doc_id, r.other_doc) for r in repeats.repeated_passages(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {(None, 7), (7, None)}
