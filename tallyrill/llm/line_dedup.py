@@ -13,13 +13,13 @@ first ``need`` lines, the fewest that hold so many, and suffixes whose longest c
 that far form one interval of the sorted array: they share ``need`` and the ranks of the two
 (overlapping) powers of two that cover it. Sorting deeper would not change these intervals, so the
 doubling ends at the largest ``need``. Within an interval the first suffix in document order stays;
-the first ``need`` lines of every other are deleted. Overlapping deletions merge. This is the rule of
-the SQL of ``op10_line_dedup``; it leaves the end of a maximal repeated run in place where the last
-lines hold under ``min_chars`` characters.
+the first ``need`` lines of every other are deleted. Overlapping deletions merge. Alone, this leaves the end of a
+maximal repeated run in place where the last lines hold under ``min_chars`` characters.
 
 With ``whole_runs`` the mirrored windows count too: for every line the fewest lines that end at it and
 hold ``min_chars``. A line of a repeated run of ``min_chars`` characters or more lies in a window that
-starts or in one that ends within the run, so maximal repeated runs of any length go as a whole. A
+starts or in one that ends within the run, so maximal repeated runs of any length go as a whole;
+the registered query and the pipeline ask for that. A
 mirrored window is a run like any other, and the ranks at hand tell it apart without more sorting.
 
 Defined cases: a null text has no lines and stays null. Documents that share id and text are one

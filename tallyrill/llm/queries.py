@@ -59,7 +59,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), whole_runs=True)
     return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
                       F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
                       F.sha2("text", 256).alias("kept_sha256"))
@@ -87,9 +87,11 @@ every AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS i
 l AS (SELECT doc_id, i, line, length(line) AS size, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p
       FROM (SELECT doc_id, i, trim(line, chr(32) || chr(9) || chr(13)) AS line FROM every) WHERE line <> ''),
 c AS (SELECT *, sum(size) OVER (PARTITION BY doc_id ORDER BY p) AS upto FROM l),
-w AS (SELECT a.doc_id, a.p, a.i, min(b.p) AS last FROM c a JOIN c b ON a.doc_id = b.doc_id
-      WHERE b.p BETWEEN a.p AND a.p + {line_dedup.MIN_CHARS} - 1
-        AND b.upto - a.upto + a.size >= {line_dedup.MIN_CHARS} GROUP BY ALL),
+pairs AS (SELECT a.doc_id, a.p, a.i, b.p AS last FROM c a JOIN c b ON a.doc_id = b.doc_id
+          WHERE b.p BETWEEN a.p AND a.p + {line_dedup.MIN_CHARS} - 1
+            AND b.upto - a.upto + a.size >= {line_dedup.MIN_CHARS}),
+w AS (SELECT doc_id, p, i, min(last) AS last FROM pairs GROUP BY ALL
+      UNION SELECT doc_id, max(p), max(i), last FROM pairs GROUP BY doc_id, last),
 runs AS (SELECT w.doc_id, w.p, w.i, w.last, string_agg(l.line, chr(10) ORDER BY l.p) AS run
          FROM w JOIN l ON l.doc_id = w.doc_id AND l.p BETWEEN w.p AND w.last GROUP BY ALL),
 later AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS n FROM runs),
