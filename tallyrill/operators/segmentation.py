@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame, Window, functions as F
@@ -73,21 +73,17 @@ def cluster(customers: DataFrame, k: int = N_CLUSTERS, seeds: tuple[int, ...] |
     """Best of several seeded K-means runs on the z-scores; adds ``segment``."""
     seeds = seeds or tuple(range(FIRST_SEED, FIRST_SEED + N_INIT))
     vectors = feature_vectors(customers)
-    narrow = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = write_once(vectors.select("features"), "features")  # on shared storage: a lost executor costs no recomputation
 
     @inheritable_thread_target(customers.sparkSession)
     def fit(seed: int):
         return KMeans(k=k, seed=seed, maxIter=300, tol=CENTER_SHIFT, featuresCol="features",
                       predictionCol="segment").fit(narrow)
 
-    try:
-        narrow.count()
-        # independent fits share the cached vectors; side by side they hide each other's job latency
-        with ThreadPoolExecutor(max_workers=min(len(seeds), PARALLEL_FITS)) as pool:
-            models = dict(zip(seeds, pool.map(fit, seeds)))
-        costs = {seed: model.summary.trainingCost for seed, model in models.items()}
-    finally:
-        narrow.unpersist()
+    # independent fits share the written vectors; side by side they hide each other's job latency
+    with ThreadPoolExecutor(max_workers=min(len(seeds), PARALLEL_FITS)) as pool:
+        models = dict(zip(seeds, pool.map(fit, seeds)))
+    costs = {seed: model.summary.trainingCost for seed, model in models.items()}
     best = min(seeds, key=lambda seed: (costs[seed], seed))
     assigned = models[best].transform(vectors).drop("features", *[f"z_{c}" for c in FEATURES])
     return Clustering(assigned, costs[best], best, costs)
