@@ -35,9 +35,12 @@ def contiguous_index(df: DataFrame, order_by: list[str | Column], out: str = "ro
     a local sort, and a written copy that fixes each row's partition and position. The sizes of
     the written partitions, one row each, give the offsets.
     """
-    ordered = (df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-               .withColumn("_seq", F.monotonically_increasing_id()))
-    kept = write_once(ordered, "ordered-rows")
+    return numbered_in_place(df.repartitionByRange(*order_by).sortWithinPartitions(*order_by), out)
+
+
+def numbered_in_place(df: DataFrame, out: str = "row_idx") -> DataFrame:
+    """0, 1, 2, ... in the order in which ``df`` yields its rows, as after ``orderBy``."""
+    kept = write_once(df.withColumn("_seq", F.monotonically_increasing_id()), "ordered-rows")
     part = F.shiftright("_seq", _SEQ_BITS)
     # one row per shuffle partition of the ordered copy: read off once, so that no later use of
     # the numbered rows counts them again

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyrill.functions.stats import log10_p
-from tallyrill.operators import correlation, keys, ordered, row_association
+from tallyrill.operators import correlation, index, keys, ordered, rollups, row_association
 from tallyrill.plans import star
-from tallyrill.plans.analysis_queries import _ERFC, _Z
-from tallyrill.plans.registry import add, pearson_p_sql, rnd, tidy
+from tallyrill.plans.analysis_queries import _BY_PRODUCT, _ERFC, _PRODUCT_COLUMNS, _Z
+from tallyrill.plans.registry import ORACLE, add, pearson_p_sql, rnd, sql, tidy
 from tallyrill.sources import scan
 
 _LINES = ", ".join(star.LINE_ORDER)
@@ -134,3 +134,24 @@ add("g1_scan_order_ids",
         _lines(s, d).select("l_orderkey", "l_linenumber")), list(scan.SCAN_ORDER))).drop(keys.POSITION)),
     """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, printf('TXN%06d', row_number() OVER () - 1)
        AS transaction_id FROM lineitem""")
+
+# -- order of sorted tables ------------------------------------------------------------------------
+
+add("k1_positions",
+    lambda s, d: index.numbered_in_place(rollups.sorted_by_date(star.sales(
+        s, d, ["date", "transaction_id"], keep_order=True), star.LINE_ORDER), "position").select("position", "transaction_id"),
+    sql(f"SELECT row_number() OVER (ORDER BY date, {_LINES}) - 1 AS position, transaction_id FROM sales", "sales"))
+
+
+def _ranked_products(s: SparkSession, d: str) -> DataFrame:
+    found = correlation.analyze(star.long_daily(s, d), None, star.sales(s, d, _PRODUCT_COLUMNS))["by_product"]
+    return index.numbered_in_place(found, "position").select("position", "product")
+
+
+add("k2_positions", _ranked_products,
+    sql("""SELECT row_number() OVER (ORDER BY r DESC, product) - 1 AS position, product FROM bp
+        WHERE r IS NOT NULL AND NOT isnan(r)""", "sales", "long_daily", bp=_BY_PRODUCT))
+
+add("c9_general",
+    lambda s, d: tidy(correlation.report({"general": correlation.general_correlation(star.long_daily(s, d))})),
+    f"SELECT 'general' AS section, method AS item, r AS value FROM ({ORACLE['c1_general']})")
