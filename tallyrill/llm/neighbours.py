@@ -1,16 +1,22 @@
 """Approximate nearest neighbours by inner product: a forest of random-projection trees.
 
-Largest inner product is turned into smallest angle by one more coordinate, sqrt(M - |x|^2) with M
-the largest squared norm (0 for queries). Trees are fitted on a bounded sample: a node splits along
-the difference of two random members, at the median of their projections. Every vector is then
-routed to its leaf in every tree. A query walks all trees through one priority queue, nearest
-margins first, until it has opened ``visit_share`` times the leaves of one tree; all vectors of the
-opened leaves are compared exactly in double precision.
-
-Equal vectors are indexed once, with their smallest ids; a query can need no more of them than it
-returns. Work is dealt by tree, range of leaves, block of vectors and block of queries, so no task
-grows with the table. Which share of the leaves gives which recall depends on the data; recall is
-measured against brute force in the tests.
+Largest inner product is turned into smallest distance by one more coordinate, sqrt(M - |x|^2) with M
+the largest squared norm; queries get length sqrt(M) and 0 there. Trees are fitted on a bounded sample:
+a node splits along the difference of two random members, at the median of their projections. Every
+vector is then routed to its leaf in every tree. A query walks all trees through one priority queue,
+nearest margins first, until the next margin exceeds its bound; all vectors of the opened leaves are
+compared exactly in double precision.
+
+The bound is ``factor * radius``. The radius is how far the query's ``k``-th neighbour should be, read off
+the sample and carried over to the size of the table by the sample's intrinsic dimension; the factor is the
+share of the radius within which sample points find ``REACH`` of their neighbours. So structured
+data open few leaves, data without structure as many as they need, and no share is fixed.
+
+Equal vectors are indexed and asked once, with their smallest ids; a query can need no more of them than
+it returns. Every vector lies in one block, a stretch of the first tree's leaves that is split where it is
+crowded, and carries its leaf in each tree. A query goes to the blocks that hold vectors of its opened
+leaves and meets every vector there at most once. Queries of a block are dealt in turn, so no task grows
+with the table. Recall is measured against brute force in the tests.
 
 Defined cases: rows with a null id or with a vector that is null, empty, zero, of another length
 than most, or that holds null or non-finite components take no part. Rows that repeat an id and
@@ -32,8 +38,8 @@ from tallyrill.llm.common import write_once
 TREES = 10
 LEAF = 100
 SAMPLE = 32_768
-VISIT_SHARE = 1.6
-SECTIONS = 8
+REACH = 0.95
+PROBES = 256
 BLOCK = 16_384
 QUERY_BLOCK = 2048
 
@@ -72,16 +78,24 @@ def leaves_of(x: np.ndarray, tree: tuple, depth: int) -> np.ndarray:
     return at - ((1 << depth) - 1)
 
 
-def open_leaves(q: np.ndarray, forest: list, depth: int, visits: int) -> list[tuple[int, int]]:
-    """The (tree, leaf) pairs a query opens, by best margin over all trees."""
-    inner = (1 << depth) - 1
+def open_leaves(q: np.ndarray, forest: list, depth: int, bound: float, sizes: np.ndarray, least: int) -> list[int]:
+    """The leaves a query opens, by best margin over all trees, as tree * 2^depth + leaf.
+
+    It stops beyond the bound, but not before the opened leaves of some tree hold ``least`` vectors
+    (``sizes``: vectors of every leaf).
+    """
+    inner, width = (1 << depth) - 1, 1 << depth
     margin = [normal @ q - threshold for normal, threshold in forest]
     queue = [(-np.inf, t, 0) for t in range(len(forest))]
+    held = [0] * len(forest)
     out = []
-    while queue and len(out) < visits:
+    while queue:
         worst, t, v = heapq.heappop(queue)
+        if worst > bound and max(held) >= least:
+            break
         if v >= inner:
-            out.append((t, v - inner))
+            out.append(t * width + v - inner)
+            held[t] += int(sizes[out[-1]])
             continue
         m = float(margin[t][v])
         heapq.heappush(queue, (max(worst, -m), t, 2 * v + 2))
@@ -89,6 +103,76 @@ def open_leaves(q: np.ndarray, forest: list, depth: int, visits: int) -> list[tu
     return out
 
 
+def needed_margin(q: np.ndarray, tree: tuple, leaf: np.ndarray, depth: int) -> np.ndarray:
+    """The margin up to which a query has to go in a tree to open each of the given leaves."""
+    margin = tree[0] @ q - tree[1]
+    at, worst = leaf + (1 << depth) - 1, np.full(len(leaf), -np.inf)
+    for _ in range(depth):
+        up = (at - 1) // 2
+        worst = np.maximum(worst, np.where(at % 2 == 0, -margin[up], margin[up]))
+        at = up
+    return worst
+
+
+class Reach:
+    """How far queries have to go, learned from a sample of the indexed vectors."""
+
+    def __init__(self, points: np.ndarray, total: int, top: float, forest: list, depth: int, k: int,
+                 reach: float = REACH, probes: int = PROBES):
+        self.points, self.top = points, top
+        expected = k * len(points) / total
+        self.rank, self.factor, self.shrink = max(1, int(np.ceil(expected))), np.inf, 1.0
+        near = min(k, len(points) - 1)
+        if near < 2:
+            return  # nothing to learn from: all leaves are opened
+        lift = lifted(points, top)
+        leaf = [leaves_of(lift, tree, depth) for tree in forest]
+        ratios, spread = [], []
+        for i in range(0, len(points), max(1, len(points) // probes)):
+            q = self.asked(points[i:i + 1])
+            far = self.distances(q)[0]
+            far[i] = np.inf
+            best = np.argpartition(far, near - 1)[:near]
+            radius = far[best].max()
+            margins = [needed_margin(np.append(q[0], 0.0), tree, at[best], depth) for tree, at in zip(forest, leaf)]
+            if radius > 0:
+                ratios.append(np.maximum(0.0, np.min(margins, axis=0)) / radius)
+                spread.append(np.log(radius / np.maximum(far[best], 1e-9 * radius)).sum() / (near - 1))
+        if ratios:
+            self.factor = float(np.quantile(np.concatenate(ratios), reach))
+            self.shrink = min(1.0, expected) ** float(np.mean(spread))
+
+    def asked(self, x: np.ndarray) -> np.ndarray:
+        """Queries with the length of the longest vector; their length does not change what is nearest."""
+        return x * (np.sqrt(self.top) / np.linalg.norm(x, axis=1, keepdims=True))
+
+    def distances(self, q: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(0.0, 2 * self.top - 2 * (q @ self.points.T)))
+
+    def bounds(self, q: np.ndarray) -> np.ndarray:
+        """For each query the margin beyond which no leaf is opened; the query itself may be in the sample."""
+        if not np.isfinite(self.factor):
+            return np.full(len(q), np.inf)
+        at = min(self.rank, len(self.points) - 1)
+        return self.factor * self.shrink * np.partition(self.distances(q), at, axis=1)[:, at]
+
+
+def lifted(x: np.ndarray, top: float) -> np.ndarray:
+    return np.hstack([x, np.sqrt(np.maximum(0.0, top - (x * x).sum(axis=1, keepdims=True)))])
+
+
+def stretches(sizes: np.ndarray, block: int) -> list[tuple[int, int, int]]:
+    """(leaf, first block, blocks) for the leaves of one tree: neighbours share a block, a crowded leaf has several."""
+    out, block_no, filled = [], -1, block
+    for leaf, n in enumerate(sizes.tolist()):
+        if filled + n > block:
+            block_no, filled = block_no + 1, 0
+        blocks = max(1, -(-n // block))
+        out.append((leaf, block_no, blocks))
+        block_no, filled = block_no + blocks - 1, block if blocks > 1 else filled + n
+    return out
+
+
 def _usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     v = F.col(f"`{vector}`").cast("array<double>")
     rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("id"), v.alias("v")).where("id is not null and v is not null")
@@ -99,39 +183,31 @@ def _usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding",
-            trees: int = TREES, leaf: int = LEAF, visit_share: float = VISIT_SHARE, sample: int = SAMPLE) -> DataFrame:
+            trees: int = TREES, leaf: int = LEAF, reach: float = REACH, sample: int = SAMPLE, block: int = BLOCK,
+            query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` best found for every row where ``is_query`` (of its id) holds."""
     rows = _usable(vectors, vec_id, vector).dropDuplicates()
     # Zeros of either sign are one value; equal vectors get equal hashes.
     plain = F.transform("v", lambda x: x + 0.0)
     rows = write_once(rows.select("id", plain.alias("v"), F.xxhash64(plain).alias("h1"),
                                   F.xxhash64(F.lit(5), plain).alias("h2")), "vectors")
-    classes = rows.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
-    first = Window.partitionBy("h1", "h2").orderBy("id")
-    members = write_once(rows.select("id", "h1", "h2").withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
-                         .join(classes, ["h1", "h2"]).select("rep", "id"), "members")
-    reps = write_once(rows.join(classes.select(F.col("rep").alias("id")), "id").select("id", "v"), "distinct-vectors")
+    same = ["h1", "h2"]
+    first = Window.partitionBy(*same).orderBy("id")
+    members = write_once(rows.select("id", *same).withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
+                         .drop("n"), "members")
+    classes = rows.groupBy(*same).agg(F.min_by(F.struct("id", "v"), "id").alias("a"))
+    reps = write_once(classes.select(F.col("a.id").alias("rep"), *same, F.col("a.v").alias("v")), "distinct-vectors")
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     size = reps.agg(F.count("*").alias("n"), F.max(norm).alias("m")).first()
-    schema = "query_id long, rank int, vec_id long, score double"
     if not size["n"]:
-        return vectors.sparkSession.createDataFrame([], schema)
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     total, top = size["n"], size["m"]
     share = min(1.0, 0.9 * sample / total)
-    fitted = reps.where(F.pmod(F.xxhash64("id"), F.lit(1 << 32)) < share * float(1 << 32)).limit(sample)
+    fitted = reps.where(F.pmod(F.xxhash64("h1"), F.lit(1 << 32)) < share * float(1 << 32)).limit(sample)
     points = np.array([r["v"] for r in fitted.select("v").collect()]).reshape(-1, len(reps.first()["v"]))
-
-    def lifted(x: np.ndarray) -> np.ndarray:
-        return np.hstack([x, np.sqrt(np.maximum(0.0, top - (x * x).sum(axis=1, keepdims=True)))])
-
     depth = max(0, min(int(np.ceil(np.log2(max(1, total / leaf)))), int(np.log2(max(1, len(points) / 8)))))
-    forest = grow_forest(lifted(points), depth, trees)
-    visits = max(1, round(visit_share * (1 << depth)))
-    sections = min(SECTIONS, 1 << depth)
-    wide = (1 << depth) // sections
-    blocks = max(1, -(-total // (sections * BLOCK)))
-    asked = rows.where(is_query(F.col("id")) if callable(is_query) else is_query).select("id", "v")
-    query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    forest = grow_forest(lifted(points, top), depth, trees)
+    far = Reach(points, total, top, forest, depth, k, reach)
 
     def grid(frame: pd.DataFrame) -> np.ndarray:
         return np.vstack(frame["v"].to_numpy())
@@ -139,42 +215,52 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     def index(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             if len(part):
-                x = lifted(grid(part))
-                for t, tree in enumerate(forest):
-                    at = leaves_of(x, tree, depth)
-                    yield part.assign(tree=t, section=at // wide, leaf=at % wide)
+                x = lifted(grid(part), top)
+                at = [t * (1 << depth) + leaves_of(x, tree, depth) for t, tree in enumerate(forest)]
+                yield part.assign(leaves=list(np.stack(at, axis=1).astype(np.int32)))
+
+    indexed = write_once(reps.mapInPandas(index, "rep long, h1 long, h2 long, v array<double>, leaves array<int>"), "indexed")
+    # At most trees * sample / 8 leaves, whatever the size of the table.
+    sizes = np.zeros(trees << depth, np.int64)
+    for r in indexed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect():
+        sizes[r["leaf"]] = r["count"]
+    layout = vectors.sparkSession.createDataFrame(stretches(sizes[:1 << depth], block), "first_leaf int, first_block int, blocks int")
+    placed = indexed.withColumn("first_leaf", F.col("leaves")[0]).join(F.broadcast(layout), "first_leaf")
+    placed = placed.withColumn("block", (F.col("first_block") + F.pmod(F.xxhash64("h1"), "blocks")).cast("int"))
+    placed = placed.select("rep", *same, "v", "leaves", "block")
 
     def ask(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            out = []
-            for i, q in zip(part["id"], part["v"]):
-                opened: dict = {}
-                for t, at in open_leaves(np.append(q, 0.0), forest, depth, visits):
-                    opened.setdefault((t, at // wide), []).append(at % wide)
-                out += [(i, q, t, s, leaves) for (t, s), leaves in opened.items()]
-            yield pd.DataFrame(out, columns=["id", "v", "tree", "section", "leaves"])
-
-    place = ["tree", "section", "block", "query_block"]
-    dealt = (reps.mapInPandas(index, "id long, v array<double>, tree int, section int, leaf int")
-             .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-             .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
-    queries = (asked.mapInPandas(ask, "id long, v array<double>, tree int, section int, leaves array<int>")
-               .withColumn("query_block", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(query_blocks)).cast("int"))
-               .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
+            for i in range(0, len(part), 256):
+                some = part.iloc[i:i + 256]
+                q = far.asked(grid(some))
+                opened = [open_leaves(np.append(x, 0.0), forest, depth, bound, sizes, k + 1)
+                          for x, bound in zip(q, far.bounds(q))]
+                yield some.assign(opened=opened)
+
+    asked = rows.where(is_query(F.col("id")) if callable(is_query) else is_query).select("id", *same)
+    queries = reps.drop("rep").join(asked.select(*same).distinct(), same)
+    queries = write_once(queries.mapInPandas(ask, "h1 long, h2 long, v array<double>, opened array<int>"), "queries")
+    held = placed.select("block", F.explode("leaves").alias("leaf")).distinct()
+    routes = write_once(queries.select(*same, F.explode("opened").alias("leaf")).join(held, "leaf")
+                        .groupBy(*same, "block").agg(F.collect_list("leaf").alias("opened")), "routes")
+    loads = write_once(routes.groupBy("block").agg(F.ceil(F.count("*") / F.lit(query_block)).cast("int").alias("turns")), "loads")
+    coming = (routes.join(queries.drop("opened"), same).join(loads, "block")
+              .withColumn("turn", F.pmod(F.xxhash64(*same), "turns").cast("int")).drop("turns"))
+    waiting = placed.join(loads, "block").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
 
     def rerank(own: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(own) and len(asking):
-            x, leaf_no, ids = grid(own), own["leaf"].to_numpy(), own["id"].to_numpy()
-            order = np.argsort(ids)
-            x, leaf_no, ids = x[order], leaf_no[order], ids[order]
+            own = own.sort_values("rep")
+            x, leaves = grid(own), np.vstack(own["leaves"].to_numpy())
             for i in range(0, len(asking), 256):
                 part = asking.iloc[i:i + 256]
                 near = grid(part) @ x.T
-                wanted = np.zeros((len(part), wide), bool)
-                for j, leaves in enumerate(part["leaves"]):
-                    wanted[j, leaves] = True
-                near[~wanted[:, leaf_no]] = -np.inf
+                for j, opened in enumerate(part["opened"]):
+                    wanted = np.zeros(len(sizes), bool)
+                    wanted[opened] = True
+                    near[j, ~wanted[leaves].any(axis=1)] = -np.inf
                 # All that reach the last wanted score, then by score and id, the wanted number of each query.
                 last = max(0, near.shape[1] - k - 1)
                 least = np.partition(near, last, axis=1)[:, last, None]
@@ -183,15 +269,20 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
                 best = np.lexsort((at, -value, query))
                 query, at, value = query[best], at[best], value[best]
                 good = np.arange(len(query)) - np.searchsorted(query, query) <= k
-                out.append(pd.DataFrame({"query_id": part["id"].to_numpy()[query[good]], "rep": ids[at[good]],
-                                         "score": value[good]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "rep": [], "score": []})
-
-    found = dealt.groupBy(*place).cogroup(queries.groupBy(*place)).applyInPandas(rerank, "query_id long, rep long, score double")
-    found = found.groupBy("query_id", "rep").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "rep")
-    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
-    all_ids = found.join(members, "rep").where("id <> query_id")
+                query, at = query[good], at[good]
+                out.append(pd.DataFrame({"q1": part["h1"].to_numpy()[query], "q2": part["h2"].to_numpy()[query],
+                                         "rep": own["rep"].to_numpy()[at], "h1": own["h1"].to_numpy()[at],
+                                         "h2": own["h2"].to_numpy()[at], "score": value[good]}))
+        return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("q1", "q2", "rep", "h1", "h2", "score")})
+
+    place = ["block", "turn"]
+    found = (waiting.groupBy(*place).cogroup(coming.groupBy(*place))
+             .applyInPandas(rerank, "q1 long, q2 long, rep long, h1 long, h2 long, score double"))
+    best = Window.partitionBy("q1", "q2").orderBy(F.desc("score"), "rep", *same)
+    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n", "rep")
+    asking = asked.select(F.col("id").alias("query_id"), F.col("h1").alias("q1"), F.col("h2").alias("q2"))
+    all_ids = found.join(members, same).join(asking, ["q1", "q2"]).where("id <> query_id")
+    all_ids = all_ids.groupBy("query_id", "id", *same).agg(F.max("score").alias("score"))
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (all_ids.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k)
             .select("query_id", "rank", F.col("id").alias("vec_id"), "score"))
