@@ -15,8 +15,9 @@ data open few leaves, data without structure as many as they need, and no share
 Equal vectors are indexed and asked once, with their smallest ids; a query can need no more of them than
 it returns. Every vector lies in one block, a stretch of the first tree's leaves that is split where it is
 crowded, and carries its leaf in each tree. A query goes to the blocks that hold vectors of its opened
-leaves and meets every vector there at most once. Queries of a block are dealt in turn, so no task grows
-with the table. Recall is measured against brute force in the tests.
+leaves and meets every vector there at most once; one that opens more than ``FEW_LEAVES`` is sent by the nodes
+``COARSE`` levels below the roots instead, so what is sent per query is bounded. Queries of a block are dealt
+in turn, so no task grows with the table. Recall is measured against brute force in the tests.
 
 Defined cases: rows with a null id or with a vector that is null, empty, zero, of another length
 than most, or that holds null or non-finite components take no part. Rows that repeat an id and
@@ -42,6 +43,8 @@ REACH = 0.95
 PROBES = 256
 BLOCK = 16_384
 QUERY_BLOCK = 2048
+FEW_LEAVES = 256
+COARSE = 4
 
 
 def _grow(sample: np.ndarray, depth: int, rng) -> tuple[np.ndarray, np.ndarray]:
@@ -157,6 +160,11 @@ class Reach:
         return self.factor * self.shrink * np.partition(self.distances(q), at, axis=1)[:, at]
 
 
+def signposts(leaves: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leaves, and the coarse nodes above them as negative numbers."""
+    return leaves, -1 - (leaves >> max(0, depth - COARSE))
+
+
 def lifted(x: np.ndarray, top: float) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(0.0, top - (x * x).sum(axis=1, keepdims=True)))])
 
@@ -217,9 +225,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
             if len(part):
                 x = lifted(grid(part), top)
                 at = [t * (1 << depth) + leaves_of(x, tree, depth) for t, tree in enumerate(forest)]
-                yield part.assign(leaves=list(np.stack(at, axis=1).astype(np.int32)))
+                at = np.stack(at, axis=1).astype(np.int32)
+                yield part.assign(leaves=list(at), signs=list(np.hstack(signposts(at, depth))))
 
-    indexed = write_once(reps.mapInPandas(index, "rep long, h1 long, h2 long, v array<double>, leaves array<int>"), "indexed")
+    indexed = write_once(reps.mapInPandas(index, "rep long, h1 long, h2 long, v array<double>, leaves array<int>, "
+                                                 "signs array<int>"), "indexed")
     # At most trees * sample / 8 leaves, whatever the size of the table.
     sizes = np.zeros(trees << depth, np.int64)
     for r in indexed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect():
@@ -227,6 +237,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     layout = vectors.sparkSession.createDataFrame(stretches(sizes[:1 << depth], block), "first_leaf int, first_block int, blocks int")
     placed = indexed.withColumn("first_leaf", F.col("leaves")[0]).join(F.broadcast(layout), "first_leaf")
     placed = placed.withColumn("block", (F.col("first_block") + F.pmod(F.xxhash64("h1"), "blocks")).cast("int"))
+    held = placed.select("block", F.explode("signs").alias("sign")).distinct()
     placed = placed.select("rep", *same, "v", "leaves", "block")
 
     def ask(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -236,16 +247,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
                 q = far.asked(grid(some))
                 opened = [open_leaves(np.append(x, 0.0), forest, depth, bound, sizes, k + 1)
                           for x, bound in zip(q, far.bounds(q))]
-                yield some.assign(opened=opened)
+                signs = [np.unique(signposts(np.array(o), depth)[len(o) > FEW_LEAVES]) for o in opened]
+                yield some.assign(opened=opened, signs=signs)
 
     asked = rows.where(is_query(F.col("id")) if callable(is_query) else is_query).select("id", *same)
     queries = reps.drop("rep").join(asked.select(*same).distinct(), same)
-    queries = write_once(queries.mapInPandas(ask, "h1 long, h2 long, v array<double>, opened array<int>"), "queries")
-    held = placed.select("block", F.explode("leaves").alias("leaf")).distinct()
-    routes = write_once(queries.select(*same, F.explode("opened").alias("leaf")).join(held, "leaf")
-                        .groupBy(*same, "block").agg(F.collect_list("leaf").alias("opened")), "routes")
+    queries = write_once(queries.mapInPandas(ask, "h1 long, h2 long, v array<double>, opened array<int>, signs array<int>"),
+                         "queries")
+    routes = write_once(queries.select(*same, F.explode("signs").alias("sign")).join(held, "sign")
+                        .select(*same, "block").distinct(), "routes")
     loads = write_once(routes.groupBy("block").agg(F.ceil(F.count("*") / F.lit(query_block)).cast("int").alias("turns")), "loads")
-    coming = (routes.join(queries.drop("opened"), same).join(loads, "block")
+    coming = (routes.join(queries.drop("signs"), same).join(loads, "block")
               .withColumn("turn", F.pmod(F.xxhash64(*same), "turns").cast("int")).drop("turns"))
     waiting = placed.join(loads, "block").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
 
