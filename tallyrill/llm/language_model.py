@@ -9,8 +9,8 @@ The trie is fixed while texts are scored, so a symbol's probability depends on i
 bytes alone, and what the longer context excludes from a shorter one is one number per context:
 every level is a sum and a join over the cluster, and the trie is never held in one place.
 
-Documents form blocks of at most about ``BLOCK_BYTES`` bytes: those of one input file, dealt by a
-hash where a file holds more. A block sends the distinct words and byte runs it holds, once, and
+Documents form blocks of about equal size, at most some ``BLOCK_BYTES`` bytes: stretches of the input's bytes, files one
+after the other and the rows of a file in the order of a hash. Every block is a task of its own. A block sends the distinct words and byte runs it holds, once, and
 gets back their counts and probabilities; its texts are scored with those. Words that no other block
 holds are not sent back, as the block's own count is all there is.
 
@@ -152,13 +152,17 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), held_out.alias("held_out"))
     rows = rows.withColumn("file", F.xxhash64(F.input_file_name()))
-    files = rows.groupBy("file").agg(F.sum(F.octet_length("text") + F.lit(64)).alias("b"),
-                                     F.sum((~F.col("held_out")).cast("long")).alias("train"))
-    size = files.agg(F.max("b").alias("b"), F.sum("train").alias("train")).first()
-    parts = max(1, -(-(size["b"] or 0) // block_bytes))
+    files = write_once(rows.groupBy("file").agg(F.sum(F.octet_length("text") + F.lit(64)).alias("b"),
+                                                F.sum((~F.col("held_out")).cast("long")).alias("train")), "files")
+    size = files.agg(F.sum("b").alias("b"), F.sum("train").alias("train")).first()
+    blocks = max(1, -(-(size["b"] or 0) // block_bytes))
     train_docs = size["train"] or 0
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))
-    rows = rows.select("doc_id", "text", "held_out", F.xxhash64("file", part).alias("block"))
+    before = F.sum("b").over(Window.orderBy("file")) - F.col("b")  # one row per input file
+    places = files.select("file", "b", before.alias("start"))
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    at = (F.col("start") + share * F.col("b")) * (blocks / (size["b"] or 1))
+    rows = rows.join(places, "file").select("doc_id", "text", "held_out",
+                                            F.least(F.floor(at), F.lit(blocks - 1)).cast("int").alias("block"))
 
     def keys_of(kind: int, texts: list) -> tuple[np.ndarray, np.ndarray]:
         return hashed_words(texts) if kind == _WORD else runs(texts, order)
@@ -181,7 +185,7 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
                 count(block)
             for block, kind in list(held):
                 own, n = _summed(held.pop((block, kind)))
-                yield pd.DataFrame({"block": np.int64(block), "kind": np.int32(kind), "key": own, "n": n})
+                yield pd.DataFrame({"block": np.int32(block), "kind": np.int32(kind), "key": own, "n": n})
 
         for batch in batches:
             for block, part in batch.groupby("block", sort=False):
@@ -197,7 +201,7 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
                 read = 0
         yield from send()
 
-    sightings = rows.mapInPandas(gather, "block long, kind int, key long, n long")
+    sightings = rows.mapInPandas(gather, "block int, kind int, key long, n long")
     whole = Window.partitionBy("kind", "key")  # one row per block and task that holds the key, at most
     named = sightings.select("block", "kind", "key", F.sum("n").over(whole).alias("n"),
                              (F.min("block").over(whole) == F.max("block").over(whole)).alias("alone"))
@@ -257,5 +261,6 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
               "train_tokens long")
-    judged = rows.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(judge, schema)
+    own, known = (df.repartitionById(blocks, F.col("block")).groupBy("block") for df in (rows, sent))
+    judged = own.cogroup(known).applyInArrow(judge, schema)
     return judged.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyrill.llm import (decontamination, language_id, language_model, line_dedup, neighbours, packing, quality,
                            repeats, secrets, simhash)
-from tallyrill.llm.common import crc_fold, hashed_words, table, words_of
+from tallyrill.llm.common import crc_fold, hashed_words, table, words_of, write_once
 from tallyrill.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -278,10 +278,12 @@ def test_components_of_a_long_chain(spark):
 
 # Language model
 
-def test_probabilities_follow_the_definition(spark):
-    docs, order = table(spark, SF, "documents"), 2
+@pytest.mark.parametrize("order, block_bytes", [(2, 1 << 25), (language_model.ORDER, 20_000)])
+def test_probabilities_follow_the_definition(spark, order, block_bytes):
+    docs = table(spark, SF, "documents")
     held = crc_fold("doc_id", 5) == 1
-    got = {r.doc_id: r for r in language_model.score(docs, held, order=order).collect()}
+    scored = language_model.score(docs, held, order=order, block_bytes=block_bytes)
+    got = {r.doc_id: r for r in scored.collect()}
     corpus = texts(spark)
     learn = {d for d in corpus if zlib.crc32(str(d).encode()) % 5 != 1}
     levels = {order: collections.Counter()}
@@ -321,6 +323,17 @@ def test_probabilities_follow_the_definition(spark):
         assert got[d].held_out == (d not in learn)
 
 
+def test_every_block_is_a_task_of_its_own(spark):
+    """Blocks come out even from uneven files, and no task holds two."""
+    rows = [(i, "word " * 50 + str(i)) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(3, F.when(F.col("doc_id") < 400, 1).otherwise(F.col("doc_id")))
+    docs = write_once(docs, "uneven")
+    size = sum(len(t) + 64 for _, t in rows)
+    scored = language_model.score(docs, F.lit(False), block_bytes=-(-size // 6)).withColumn("task", F.spark_partition_id())
+    per_task = [r["count"] for r in scored.groupBy("task").count().collect()]
+    assert sum(per_task) == 600 and len(per_task) == 6 and max(per_task) < 150
+
+
 def test_language_model_odd_rows(odd, nothing):
     got = language_model.score(odd, F.lit(False)).collect()
     assert len(got) == odd.count() and all(r.score < 0 for r in got)
