@@ -10,6 +10,7 @@ Order keys should be distinct enough to split: a range shuffle keeps equal keys
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
@@ -18,6 +19,7 @@ from tallyrill.operators.index import contiguous_index, running_totals, stretche
 from tallyrill.scratch import write_once
 
 CHUNK_ROWS = 200_000  # rows of one stretch in ``along_windows``
+STRETCH_ROWS = 500_000  # rows of one stretch in ``nearest_in_order``, about: a range shuffle cuts by a sample
 
 
 def value_ranks(counts: DataFrame, value: str, n: str, rank: str) -> DataFrame:
@@ -60,24 +62,29 @@ def along_windows(df: DataFrame, order_by: list[str | Column], columns: dict[str
 
 
 def nearest_in_order(wanted: DataFrame, at: str, known: DataFrame, known_at: str, value: str, out: str,
-                     direction: str = "nearest") -> DataFrame:
+                     direction: str = "nearest", stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """``wanted`` with the value of ``known`` whose time is nearest, the earlier one on ties; null without any.
 
     ``direction`` is ``nearest``, ``backward`` (the last one not after) or ``forward`` (the first one not before). Times
     are dates, timestamps or numbers. Of several values at one time
     the least counts; rows without a time find nothing. There is no key: the stretches of the merged order are
-    filled alone, and each learns the last known value before it and the first one after it.
+    filled alone, and each learns the last known value before it and the first one after it. Stretches keep their
+    length of about ``stretch_rows`` however many rows there are, and a task fills one or two of them, so its memory does
+    not grow with the tables.
     """
     if direction not in ("nearest", "backward", "forward"):
         raise ValueError(direction)
     kind = known.schema[known_at].dataType
-    held = known.filter(F.col(known_at).isNotNull() & F.col(value).isNotNull()).groupBy(
-        F.col(known_at).alias("_at")).agg(F.min(value).alias("_value"))
+    # written: both are counted, sampled for the order and moved
+    wanted = write_once(wanted, "wanted")
+    held = write_once(known.filter(F.col(known_at).isNotNull() & F.col(value).isNotNull()).groupBy(
+        F.col(known_at).alias("_at")).agg(F.min(value).alias("_value")), "known")
+    n_parts = max(2, math.ceil((wanted.count() + held.count()) / stretch_rows))
     asked = wanted.select(F.col(at).cast(kind).alias("_at"), F.struct(*[F.col(f"`{c}`") for c in wanted.columns]).alias("_row"))
     # Rows at one time may be cut anywhere, so that a time which many share is no single stretch.
     both = held.select("_at", F.struct("_at", "_value").alias("_known"), F.lit(0).cast("bigint").alias("_tie")).unionByName(
         asked.withColumn("_tie", F.monotonically_increasing_id() + 1), allowMissingColumns=True)
-    parts = stretches(both.filter(F.col("_at").isNotNull()), ["_at", "_tie"], "merged-order")
+    parts = stretches(both.filter(F.col("_at").isNotNull()), ["_at", "_tie"], "merged-order", n_parts)
 
     # one row per written part: the known values at its two ends
     ends = sorted(parts.filter(F.col("_known").isNotNull()).groupBy("_part").agg(
@@ -97,7 +104,7 @@ def nearest_in_order(wanted: DataFrame, at: str, known: DataFrame, known_at: str
 
     # two growing frames, one per direction; a known value at a row's own time counts for both
     grown = {"_back": F.col("_at").asc(), "_ahead": F.col("_at").desc()}
-    filled = parts.withColumns({
+    filled = parts.repartitionByRange(n_parts, "_part").withColumns({
         name: F.last("_known", ignorenulls=True).over(
             Window.partitionBy("_part").orderBy(order).rangeBetween(Window.unboundedPreceding, 0))
         for name, order in grown.items()}).filter(F.col("_row").isNotNull())

@@ -87,6 +87,18 @@ def test_nearest_in_order(spark, direction, known_times):
     assert len(got) == 901
 
 
+def test_stretches_of_nearest_times_keep_their_length(spark):
+    """More rows make more stretches, not longer ones, in the written order and in the tasks that fill it."""
+    left = spark.range(6000).select("id", F.timestamp_seconds(F.col("id") % 900).alias("at"))
+    right = spark.range(600).select(F.timestamp_seconds(F.col("id") * 7).alias("t"), "id")
+    out = ordered.nearest_in_order(left, "at", right.withColumnRenamed("id", "v"), "t", "v", "v", stretch_rows=300)
+    parts = next(spark.read.parquet(f.rsplit("/", 1)[0]) for f in out.inputFiles() if "merged-order" in f)
+    sizes = [r["count"] for r in parts.groupBy("_part").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 900 and sum(sizes) == 6600
+    tasks = out.filter("v IS NOT NULL").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(tasks) >= 8 and max(r["count"] for r in tasks) <= 1800
+
+
 def plain_kendall(x, y):
     dis = sum((x[i] - x[j]) * (y[i] - y[j]) < 0 for i in range(len(x)) for j in range(i))
     con = sum((x[i] - x[j]) * (y[i] - y[j]) > 0 for i in range(len(x)) for j in range(i))
