@@ -1,6 +1,7 @@
 """Cleaning, keys, row numbers and quantiles."""
 
 import datetime as dt
+import os
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tallyrill import scratch
 from tallyrill.operators import cleaning, index, keys, quality, quantiles, rollups
 from tallyrill.sources import scan
 
@@ -235,3 +237,38 @@ def test_distinct_counts_multiply_no_row(spark):
         assert "Expand" not in frame._jdf.queryExecution().executedPlan().toString()
     assert frames[0].first().unique_customers == 4 and frames[0].first().unique_products == 3
     assert frames[2].first().unique_customers == 4
+
+
+@pytest.mark.parametrize("chunk", [10, 50, 20_000])
+@pytest.mark.parametrize("located", [True, False])
+def test_customer_ids_move_whole_rows_once(spark, chunk, located):
+    """The same ids as of rows put in order first, undated rows and batches that end inside a block included."""
+    rng = random.Random(12)
+    rows = [(i, None if rng.random() < 0.1 else dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(5)),
+             rng.choice(["a", "b", "c", None, "nan"])) for i in range(700)]
+    df = spark.createDataFrame(rows, f"{keys.POSITION} long, date date, location string").repartition(4)
+    df = df if located else df.drop("location")
+    want = keys.with_customer_id(keys.by_date(df, [keys.POSITION]))
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = keys.customer_id_by_position(df, chunk_rows=chunk)
+        got = {r[keys.POSITION]: r.customer_id for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    assert got == {r[keys.POSITION]: r.customer_id for r in want.collect()}
+    assert "rangepartitioning" not in plan and set(out.columns) == {*df.columns, "customer_id"}
+
+
+def test_generated_ids_leave_whole_rows_unsorted(spark):
+    """Rows in scan order are dealt to their chunk from the written copy: nothing but keys and places is sorted by range."""
+    df = spark.createDataFrame([(i, dt.date(2024, 1, 1 + i % 3), "x", f"p{i % 4}", 1, 2.0) for i in range(60)],
+                               "n long, date date, location string, product_name string, quantity long, unit_price double")
+    folder = scratch.shared_folder(spark) + "/tallyrill"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    out = cleaning.clean_sales(df, ["n"])
+    wide = [p for p in set(os.listdir(folder)) - before if p.startswith("ordered-rows")
+            and "product_name" in spark.read.parquet(f"{folder}/{p}").columns and "date" in spark.read.parquet(f"{folder}/{p}").columns]
+    assert len(wide) == 1  # by position; a second one, by date, is not written
+    assert out.count() == 60
