@@ -205,6 +205,26 @@ def test_quantiles_of_several_columns_with_missing_values(spark):
     assert got == {("a", 0.0): 1.0, ("a", 0.5): 2.5, ("a", 1.0): 4.0, ("b", 0.5): None}
 
 
+def test_values_far_from_a_quantile_are_only_counted(spark, monkeypatch):
+    """A sketch narrows what is ordered: of 20,000 distinct values a few hundred are written in order."""
+    monkeypatch.setattr(quantiles, "SKETCH_ABOVE", 1000)
+    written = []
+    monkeypatch.setattr(quantiles, "write_once", lambda df, label: written.append(scratch.write_once(df, label)) or written[-1])
+    df = spark.range(20_000).select((F.col("id") * 3 % 20_000).cast("double").alias("v"),
+                                    F.when(F.col("id") % 3 > 0, F.col("id") % 2).cast("double").alias("w")).repartition(5)
+    got = quantiles.exact_quantiles(df, {"v": [0.75, 0.25], "w": [0.5]})
+    assert got == {("v", 0.25): 4999.75, ("v", 0.75): 14999.25, ("w", 0.5): got["w", 0.5]} and got["w", 0.5] in (0.0, 0.5, 1.0)
+    counts = written[-1].filter("c = 0")
+    assert counts.count() < 500 and counts.agg(F.sum("n")).first()[0] == 20_000
+
+
+@pytest.mark.parametrize("ranges", [[(0.0, 10.0)], [(5.0, 5.0), (900.0, 990.0)], [(600.0, 700.0)]])
+def test_quantiles_that_a_sketch_misplaced(spark, monkeypatch, ranges):
+    monkeypatch.setattr(quantiles, "_brackets", lambda cells, wanted: {c: ranges for c in wanted})
+    df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    assert quantiles.exact_quantiles(df, {"v": [0.25, 0.5]}) == {("v", 0.25): 249.75, ("v", 0.5): 499.5}
+
+
 def test_numbers_in_file_names_order_by_value(spark):
     names = ["d/part-99999.csv", "d/part-100000.csv", "d/part-2.csv", "c/part-7.csv"]
     df = spark.createDataFrame([(n,) for n in names], "f string")
