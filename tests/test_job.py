@@ -2,11 +2,13 @@
 
 import datetime as dt
 import json
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyrill import scratch
 from tallyrill.operators import reporting
 from tallyrill.plans import job
 from tallyrill.sources import scan, sinks
@@ -143,3 +145,41 @@ def test_job_without_social_tables(spark, landing, tmp_path):
     done = job.run_job(spark, conf)
     assert set(done["data"]) == {"sales", "daily_aggregates"}
     assert done["correlation"]["general"] is None and done["missing_outputs"] == ["social_media_merged"]
+
+
+def test_job_keeps_on_disk_only_what_it_needs(spark, landing, tmp_path, monkeypatch):
+    """Scratch of a stage goes before the next one starts, and shuffle files go with the statement they served."""
+    held, folder = [], f"{scratch.shared_folder(spark)}/tallyrill"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    def seen(step):
+        def run(*args, **kwargs):
+            held.append((set(os.listdir(folder)) - before, spark.conf.get(scratch._CLEAN, None)))
+            return step(*args, **kwargs)
+        return run
+
+    monkeypatch.setattr(job.quality, "validate_tables", seen(job.quality.validate_tables))
+    monkeypatch.setattr(job.segmentation, "segment_customers", seen(job.segmentation.segment_customers))
+    monkeypatch.setattr(job.correlation, "analyze", seen(job.correlation.analyze))
+    assert job.run_job(spark, config(landing, tmp_path / "out")) is not None
+    assert len(held) == 3 and all(left == set() and clean == "true" for left, clean in held[:1] + held[2:])
+    assert spark.conf.get(scratch._CLEAN, None) is None
+    spark.conf.set(scratch._CLEAN, "false")
+    try:
+        with scratch.shuffles_removed(spark):
+            assert spark.conf.get(scratch._CLEAN) == "false"
+        assert spark.conf.get(scratch._CLEAN) == "false"
+    finally:
+        spark.conf.unset(scratch._CLEAN)
+
+
+def test_compressed_landing_files_are_read(spark, landing, tmp_path):
+    sales = scan.read_sales_csv(spark, str(landing / "sales.csv"))
+    sinks.write_table(sales, str(tmp_path / "s.csv"), "csv", compression="gzip")
+    again = scan.read_sales_csv(spark, str(tmp_path / "s.csv"))
+    assert sorted(map(str, again.collect())) == sorted(map(str, sales.collect()))
+    posts = scan.read_social_json(spark, str(landing / "instagram.json"), "instagram")
+    sinks.write_json_records(posts, str(tmp_path / "p.json"), "gzip")
+    assert scan.read_social_json(spark, str(tmp_path / "p.json"), "instagram", json_lines=True).count() == posts.count()
+    for name in ("s.csv", "p.json"):
+        assert all(f.endswith(".gz") for f in os.listdir(tmp_path / name) if not f.startswith(("_", ".")))

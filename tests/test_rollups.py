@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 import random
+import threading
 
 import numpy as np
 import pandas as pd
@@ -183,6 +184,44 @@ def test_clusters_take_the_cheapest_seed(spark, customers):
     assert found.cost == pytest.approx(inertia, rel=1e-2)
 
 
+def test_fits_side_by_side_cache_few_rows(spark, customers, monkeypatch):
+    """Where the vectors are many only one fit at a time caches them; all fits are made and the best is taken."""
+    fit, running, most, lock = segmentation.KMeans.fit, [], [], threading.Lock()
+
+    def counted(self, *args):
+        with lock:
+            running.append(self)
+            most.append(len(running))
+        try:
+            return fit(self, *args)
+        finally:
+            with lock:
+                running.remove(self)
+
+    monkeypatch.setattr(segmentation.KMeans, "fit", counted)
+    monkeypatch.setattr(segmentation, "CACHED_ROWS", 799)
+    one = segmentation.cluster(customers, seeds=(1, 2, 3, 4))
+    assert max(most) == 1 and len(most) == 4
+    assert set(one.costs) == {1, 2, 3, 4} and one.cost == min(one.costs.values()) == one.costs[one.seed]
+    assert segmentation.fits_at_once(0, 10) == segmentation.fits_at_once(100, 10) == segmentation.PARALLEL_FITS
+
+
+def test_segments_are_written_where_they_stay(spark, monkeypatch):
+    sales = spark.createDataFrame([(i % 40, day(i % 9), f"t{i}", 5.0 + i, 1, i % 7) for i in range(300)],
+                                  "customer_id int, date date, transaction_id string, amount double, quantity int, product_id int")
+    written, write_once = [], segmentation.write_once
+    monkeypatch.setattr(segmentation, "write_once", lambda df, label: written.append(label) or write_once(df, label))
+    kept = {}
+
+    def store(rfm, segments):
+        kept.update(rfm=write_once(rfm, "rfm"), segments=write_once(segments, "stored"))
+        return kept["rfm"], kept["segments"]
+
+    out = segmentation.segment_customers(sales, seeds=(42,), store=store)
+    assert "segments" not in written and out["rfm"] is kept["rfm"] and out["segments"] is kept["segments"]
+    assert sum(r.customers for r in out["report"].collect()) == 40 == out["pca"].count()
+
+
 def test_labels_follow_the_rules(spark, customers):
     given = customers.withColumn("segment", F.col("customer_id") % 4)
     got = {r.segment: r.segment_name for r in segmentation.label_segments(given).select("segment", "segment_name").distinct().collect()}
