@@ -5,7 +5,13 @@ the words of the items: any other word has weight zero in every query. Document
 terms come from all passages of all documents. A randomised SVD of the items' TF-IDF passages (range
 finding with power iterations, every product of the matrix summed over the cluster) gives the latent
 space, into which each passage of each document is folded. Every passage whose cosine to an item's
-passage reaches ``MIN_COSINE`` is a candidate. A candidate is confirmed on the words around it: the
+passage reaches ``MIN_COSINE`` is a candidate. The space has ``RANK`` dimensions however many items there
+are, and items that share few words with others may lie outside it, so the cosine over the terms
+themselves counts where the one in the space falls short: no item is left out of the search. In a passage
+much longer than the item other words of the benchmark hide it, so an item of at most half a passage is
+also searched in passages of its own length (``NARROW``) where wide ones show no leak; of at most a dozen
+words only copies are confirmed there, as half of so few words says little.
+A candidate is confirmed on the words around it: the
 longest common subsequence with the item must hold ``COPY_SHARE`` of the item's words, or
 ``PARAPHRASE_SHARE`` of them where the item's answer is there as well.
 
@@ -16,7 +22,7 @@ word has to be kept. All passages of all documents are searched; there is no lim
 
 The driver holds the items (a query set that every task needs whole, refused beyond ``MAX_ITEM_WORDS``
 words in total), their term weights, and matrices of terms by latent dimensions. At that limit a task holds
-some 85 MB of item vectors and 64 MB of cosines at a time.
+some 200 MB of item vectors and, at a time, 64 MB of cosines and the products of one passage's terms.
 
 Defined cases: null and empty texts have no passages and are clean. Items without words match
 nothing. Null ids are reported as they are, repeated rows each; items are told apart by row, so one
@@ -37,6 +43,7 @@ from tallyrill.llm.common import hashed_words, text_batches, write_once
 
 WIDTH = 48
 STRIDE = 24
+NARROW = (3, 6, 12, 24)
 RANK = 128
 OVERSAMPLE = 16
 POWER_ROUNDS = 2
@@ -48,6 +55,7 @@ MAX_ITEM_WORDS = 4_000_000
 _ROWS = 1 << 13
 _BLOCK = 1 << 9
 _CELLS = 1 << 24  # cosines worked out at a time
+_PRODUCTS = 1 << 18  # products of two term weights added up at a time, more only where one passage has more
 _SLICES = 16
 
 
@@ -116,6 +124,55 @@ def project(rows: np.ndarray, weight: np.ndarray, space: np.ndarray) -> np.ndarr
     return np.divide(out, norm, out=out, where=norm > 1e-9)
 
 
+class Postings:
+    """Unit TF-IDF vectors of the items' passages by term, for all cosines over the terms that reach ``least``.
+
+    The lightest terms of a vector, of half of ``least`` in length together, stay out of the sums at first: they stand
+    in most passages, and add no more than that half. Pairs that may still get there are worked out with all terms.
+    """
+
+    def __init__(self, rows: np.ndarray, weight: np.ndarray, terms: int, least: float):
+        self.width, self.terms, self.least = len(rows), terms + 1, least
+        unit = weight / np.maximum(np.linalg.norm(weight, axis=1, keepdims=True), 1e-9)
+        passage, place = np.nonzero(weight > 0)
+        term, value = rows[passage, place], unit[passage, place].astype(np.float32)
+        self.keys, self.values = passage * self.terms + term, value  # terms of a passage ascend
+        rising = np.lexsort((value, passage))
+        total = np.cumsum(value[rising].astype(np.float64) ** 2)
+        first = np.searchsorted(passage, passage)
+        light = total - np.where(first > 0, total[first - 1], 0.0) <= (least / 2) ** 2
+        heavy = np.sort(rising[~light])
+        order = heavy[np.argsort(term[heavy], kind="stable")]
+        self.passage, self.value = passage[order].astype(np.int32), value[order]
+        self.begin = np.searchsorted(term[order], np.arange(terms + 2))
+
+    def near(self, rows: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, item's passage, cosine) of pairs that reach ``least``; passages as from ``weights``."""
+        unit = weight / np.maximum(np.linalg.norm(weight, axis=1, keepdims=True), 1e-9)
+        begin, size = self.begin[rows], np.where(weight > 0, self.begin[rows + 1] - self.begin[rows], 0)
+        upto = np.cumsum(size.sum(axis=1))
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        a = 0
+        while a < len(rows):
+            most = (upto[a - 1] if a else 0) + _PRODUCTS
+            b = max(a + 1, min(int(np.searchsorted(upto, most, side="right")), a + max(1, _PRODUCTS // self.width)))
+            passage, place = np.nonzero(size[a:b])
+            n = size[a:b][passage, place]
+            at = np.arange(n.sum()) + np.repeat(begin[a:b][passage, place] - (np.cumsum(n) - n), n)
+            cell = np.repeat(passage * self.width, n) + self.passage[at]
+            value = np.repeat(unit[a:b][passage, place], n) * self.value[at]
+            total = np.bincount(cell, value, (b - a) * self.width)
+            for cells in np.array_split(hit := np.flatnonzero(total >= self.least / 2 - 1e-5), 1 + len(hit) // _ROWS):
+                i, j = a + cells // self.width, cells % self.width
+                key = j[:, None] * self.terms + rows[i]
+                spot = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                cosine = np.where(self.keys[spot] == key, unit[i] * self.values[spot], 0.0).sum(axis=1)
+                reached = cosine >= self.least
+                out.append((i[reached], j[reached], cosine[reached]))
+            a = b
+        return tuple(np.concatenate(c) for c in zip(*out))
+
+
 def common_subsequence(item: np.ndarray, region: np.ndarray) -> int:
     """Length of the longest common subsequence, one bit per word of the item."""
     masks: dict[int, int] = {}
@@ -202,6 +259,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
                rare_share: float = RARE_SHARE, row_key: str | None = None) -> DataFrame:
     """One row per document and item found in it: ``doc_id``, ``item_id``, ``cosine``, ``lcs_share``, ``answer``.
 
+    ``cosine`` is that in the latent space where it reaches ``min_cosine``, otherwise that over the terms themselves,
+    in wide passages or, where these show no leak, in narrow ones.
     ``answer`` says whether the item's answer is there or, without one, whether enough of its rare words are.
     ``row_key`` names a long column of ``docs`` without nulls to report as well, by that name.
     """
@@ -255,7 +314,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     items = spark.createDataFrame(pd.DataFrame({"terms": [r.tolist() for r in rows]}), "terms array<int>")
     space = latent_space(write_once(items, "item-passages"), idf, rank)
     wide = np.vstack([space, np.zeros((1, space.shape[1]), np.float32)])
-    queries = project(*weights(rows, idf), wide)
+    item_weights = weights(rows, idf)
+    queries, postings = project(*item_weights, wide), Postings(*item_weights, none, min_cosine)
+    sizes, narrow = np.diff(offsets), []
+    for least, width in zip((0, *NARROW), NARROW):
+        short = np.flatnonzero((sizes > least) & (sizes <= width))
+        if len(short):
+            words_of_short = term_numbers(np.concatenate([own[k] for k in short]), terms)
+            short_rows, _, _ = passages(words_of_short, np.concatenate([[0], np.cumsum(sizes[short])]), none, width, width)
+            narrow.append((width, short, Postings(*weights(short_rows, idf), none, min_cosine)))
     item_ids = [r["item"] for r in table]
     own_idf = [idf[term_numbers(w, terms)] for w in own]
 
@@ -267,33 +334,56 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             h, o = hashed_words([t if isinstance(t, str) else None for t in part["text"]])
-            found, whose, start = passages(term_numbers(h, terms), o, none)
+            numbers = term_numbers(h, terms)
+            found, whose, start = passages(numbers, o, none)
             hits: dict[tuple[int, int], list] = {}
-            step = max(1, min(_ROWS, _CELLS // len(queries)))
+            out, leaks = [], set()
+
+            def note(at: np.ndarray, q: np.ndarray, cosine: np.ndarray) -> None:
+                for p, k, c in zip((at + i).tolist(), whom[q].tolist(), cosine.tolist()):
+                    if (int(whose[p]), k) not in leaks:
+                        hits.setdefault((int(whose[p]), k), []).append((int(start[p]), c))
+
+            step, whom = max(1, min(_ROWS, _CELLS // len(queries))), owner
             for i in range(0, len(found), step):
-                near = project(*weights(found[i:i + step], idf), wide) @ queries.T
+                weighed = weights(found[i:i + step], idf)
+                near = project(*weighed, wide) @ queries.T
                 at, q = np.nonzero(near >= min_cosine)
-                for p, k, c in zip((at + i).tolist(), owner[q].tolist(), near[at, q].tolist()):
-                    hits.setdefault((int(whose[p]), k), []).append((int(start[p]), c))
-            out = []
-            for (d, k), spots in hits.items():
-                item, text_words = own[k], h[o[d]:o[d + 1]]
-                best = (False, 0.0, 0.0, False)
-                done = -1
-                for s, c in sorted(spots):
-                    # The item may begin before the passage or end after it.
-                    a, b = max(0, s - len(item)), s + WIDTH + len(item)
-                    region = text_words[a:b]
-                    enough = np.isin(region, item).sum() >= paraphrase_share * len(item)
-                    if enough and (s != done or c > best[2]):
-                        share = common_subsequence(item, region) / len(item)
-                        answered = share >= paraphrase_share and confirmed(k, region)
-                        # A confirmed passage counts before one that shares more words and is not.
-                        best = max(best, (share >= copy_share or answered, share, c, answered))
-                    done = s
-                leak, share, c, answered = best
-                if leak:
-                    out.append((d, item_ids[k], c, share, answered))
+                # What the latent space holds of an item may be little or nothing.
+                more, other, cosine = postings.near(*weighed)
+                new = near[more, other] < min_cosine
+                note(at, q, near[at, q])
+                note(more[new], other[new], cosine[new])
+
+            def confirm(width: int) -> None:
+                for (d, k), spots in hits.items():
+                    item, text_words = own[k], h[o[d]:o[d + 1]]
+                    best = (False, 0.0, 0.0, False)
+                    done = -1
+                    for s, c in sorted(spots):
+                        # The item may begin before the passage or end after it.
+                        a, b = max(0, s - len(item)), s + width + len(item)
+                        region = text_words[a:b]
+                        enough = np.isin(region, item).sum() >= paraphrase_share * len(item)
+                        if enough and (s != done or c > best[2]):
+                            share = common_subsequence(item, region) / len(item)
+                            answered = share >= paraphrase_share and confirmed(k, region)
+                            leak = share >= copy_share or answered and width >= WIDTH // 2
+                            # A confirmed passage counts before one that shares more words and is not.
+                            best = max(best, (leak, share, c, answered))
+                        done = s
+                    leak, share, c, answered = best
+                    if leak:
+                        out.append((d, item_ids[k], c, share, answered))
+                        leaks.add((d, k))
+
+            confirm(WIDTH)
+            for width, whom, short in narrow:
+                hits.clear()
+                found, whose, start = passages(numbers, o, none, width, width // 2)
+                for i in range(0, len(found), _ROWS):
+                    note(*short.near(*weights(found[i:i + _ROWS], idf)))
+                confirm(width)
             at, item, cosine, share, answered = zip(*out) if out else ([],) * 5
             own_rows = part.iloc[list(at)]
             found_rows = pd.DataFrame({

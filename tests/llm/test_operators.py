@@ -133,6 +133,77 @@ def test_leaks_and_paraphrases(spark):
     assert got == {(d, k) for k in range(20) for d in (k, 100 + k)}
 
 
+def lone_items():
+    """A benchmark whose pairs of like items fill the latent space, and items with words of their own outside it."""
+    rng = random.Random(3)
+    pairs = []
+    for i in range(decontamination.RANK + decontamination.OVERSAMPLE + 10):
+        words = [f"pair{i}x{j}" for j in range(30)]
+        pairs += [words, [*words[:27], f"other{i}a", f"other{i}b", f"other{i}c"]]
+    lone = [[f"lone{i}x{j}" for j in range(25)] for i in range(8)]
+    host = [w for words in pairs for w in words[:4]]
+
+    def around(n):
+        return [rng.choice(host) if rng.random() < 0.25 else f"filler{rng.randrange(5000)}" for _ in range(n)]
+
+    docs = [(i, " ".join([*around(90), *item, *around(90)])) for i, item in enumerate(lone)]
+    docs += [(100 + i, " ".join(around(200))) for i in range(20)]
+    items = [(i, " ".join(words)) for i, words in enumerate(lone + pairs)]
+    return docs, items
+
+
+def test_items_outside_the_latent_space_are_searched(spark):
+    docs, items = lone_items()
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.find_leaks(frame, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(8)}
+    assert all(r.lcs_share == 1 and 0.6 <= r.cosine <= 1 + 1e-6 for r in got)
+
+
+def test_short_items_are_found_among_words_of_others(spark):
+    """Around a short item stand rarer words of long ones, which outweigh it in a wide passage."""
+    rng = random.Random(8)
+    rare = [f"rare{i}" for i in range(1500)]
+    plain = [f"plain{i}" for i in range(60)]
+    long = [[rng.choice(rare) for _ in range(40)] for _ in range(300)]
+    short = [[*plain[7 * i:7 * i + n]] for i, n in enumerate((2, 3, 4, 5, 6, 7))]
+
+    def around(n):  # words of long items in no order of theirs
+        return [rng.choice(rare) for _ in range(n)]
+
+    docs = [(i, " ".join([*around(101 + i), *item, *around(90)])) for i, item in enumerate(short)]
+    docs += [(100 + i, " ".join(w for p in plain[::-1] for w in (*around(9), p))) for i in range(40)]  # apart
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(words)) for i, words in enumerate(short + long)], "item_id long, text string")
+    got = decontamination.find_leaks(frame, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(6)}
+    assert len(got) == 6 and all(r.lcs_share == 1 for r in got)
+
+
+def test_cosines_over_terms(monkeypatch):
+    rng = np.random.default_rng(4)
+    idf = rng.random(40) + 0.1
+    items, found = (np.where(rng.random((n, 12)) < 0.2, 40, rng.integers(0, 40, (n, 12))).astype(np.int32) for n in (9, 70))
+    found[3] = 40  # a passage without terms
+
+    def dense(rows):
+        number, weight = decontamination.weights(rows, idf)
+        out = np.zeros((len(rows), 41))
+        for i in range(len(rows)):
+            np.add.at(out[i], number[i], weight[i])
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+    want = dense(found) @ dense(items).T
+    for products, least in ((1, 0.3), (50, 0.5), (1 << 20, 0.3), (1 << 20, 0.6)):
+        monkeypatch.setattr(decontamination, "_PRODUCTS", products)
+        postings = decontamination.Postings(*decontamination.weights(items, idf), 40, least)
+        at, q, cosine = postings.near(*decontamination.weights(found, idf))
+        assert sorted(zip(at.tolist(), q.tolist())) == list(zip(*(x.tolist() for x in np.nonzero(want >= least))))
+        assert len(at) > 5 and cosine == pytest.approx(want[at, q], abs=1e-5)
+        assert len(postings.passage) < len(postings.keys)  # light terms are added only for pairs that may get there
+
+
 def test_paraphrases_with_other_endings(spark):
     rng = random.Random(9)
     common = [f"the{i}" for i in range(12)]

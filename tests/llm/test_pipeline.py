@@ -6,6 +6,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from compare import database, difference  # noqa: E402
+from llm.test_operators import lone_items  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from tallyrill.llm import queries  # noqa: E402
@@ -62,6 +63,13 @@ def test_rows_that_share_an_id_or_have_none_are_decided_alone(spark, tmp_path):
     assert sorted((r.doc_id or 0, r.text) for r in got) == sorted((d or 0, t) for d, t in clean)
 
 
+def test_items_outside_the_latent_space_leave_no_document(spark, tmp_path):
+    docs, items = lone_items()
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.without_benchmark(spark, rows_of(spark, docs), str(tmp_path)).collect()
+    assert {r.doc_id for r in got} == {d for d, _ in docs if d >= 100}
+
+
 def test_near_copies_leave_their_namesakes(spark):
     words = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
     text, alone = words("copy", 60), words("alone", 60)
